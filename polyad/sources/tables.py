@@ -36,9 +36,17 @@ def read_tab_separated(spark: SparkSession, path: str | Sequence[str], schema: T
     return read_delimited(spark, path, schema, sep="\t", **options)
 
 
-def read_landed(spark: SparkSession, path: str) -> DataFrame:
-    """A table landed as Parquet, with NaN turned into NULL."""
-    return _nan_free(spark.read.parquet(path))
+def read_landed(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, nan_columns: Sequence[str] = ()
+) -> DataFrame:
+    """A table landed as Parquet.
+
+    Name the columns that may hold NaN, and it becomes NULL there; filters on the
+    other columns still reach the scan. A given schema saves the footer read.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(path)
+    return df.withColumns({c: nan_to_null(c) for c in nan_columns})
 
 
 def read_from_tree(spark: SparkSession, root: str, file_name: str, schema: T.StructType | str, sep: str = ",") -> DataFrame:

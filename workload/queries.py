@@ -804,7 +804,7 @@ def latest_window(v: Views) -> DataFrame:
 
 @query
 def normalize_groups(v: Views) -> DataFrame:
-    orders = v.unit_orders().select("u", "o_orderkey", (F.col("o_totalprice") / 100000).alias("target"))
+    orders = v.unit_orders().select("u", "o_orderkey", (F.col("o_totalprice") / 70000).alias("target"))
     return rounded(group_normalizer(orders, "u", "target"))
 
 
@@ -818,7 +818,7 @@ def pinball_loss(v: Views) -> DataFrame:
 def imputable(v: Views) -> DataFrame:
     """Items with gaps in three linked measures."""
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    base = F.col("l_extendedprice") / 1000 + F.col("l_quantity") * 2
+    base = F.col("l_extendedprice") / 700 + F.col("l_quantity") * 2
     return v.table("lineitem").select(
         "l_orderkey",
         "l_linenumber",

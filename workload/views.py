@@ -22,6 +22,19 @@ from polyad.sources.tables import read_landed
 
 FIRST_YEAR, LAST_YEAR = 1993, 2003
 
+# Schemas of the driver tables.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # Intervals of bloc membership, 9999 is open; unit 9 has two of them.
 ROSTER = [
     (6, 1996, 9999),
@@ -65,7 +78,7 @@ class Views:
         self.written: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_landed(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return read_landed(self.spark, f"{self.sf_dir}/{name}.parquet", SCHEMAS[name])
 
     # -- event records ----------------------------------------------------
 
@@ -206,7 +219,7 @@ class Views:
         return self.unit_orders().select(
             F.concat(F.lit("NATION_"), F.col("u").cast("string")).alias("countrycode"),
             F.col("y").alias("year"),
-            nulled(F.col("o_totalprice") / 10, F.col("o_orderkey") % 5 == 0).alias("gdppc"),
+            nulled(F.col("o_totalprice") / 7, F.col("o_orderkey") % 5 == 0).alias("gdppc"),
             (F.col("o_orderkey") % 1000).cast("double").alias("pop"),
         )
 
