@@ -179,3 +179,11 @@ def partner_sum(value: Column | str, partner: Column | str, codes: Iterable[Any]
 
 def weighted_sum(value: Column | str, weight: Column | str) -> Column:
     return sum_of(as_column(value) * as_column(weight))
+
+
+def correlation(a: Column | str, b: Column | str) -> Column:
+    """Pearson correlation over rows where both are known; NULL when one does not vary."""
+    x, y = as_column(a), as_column(b)
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

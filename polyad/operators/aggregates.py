@@ -11,7 +11,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from polyad.functions.values import percent_text, round_even
+from polyad.functions.values import correlation, percent_text, round_even
 from polyad.operators.joins import key_join
 
 SKETCH_ACCURACY = 10_000
@@ -171,7 +171,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = complete.agg(
         F.array(
             *[
-                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.corr(a, b).alias("r"))
+                F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(a, b).alias("r"))
                 for a, b in combinations(columns, 2)
             ]
         ).alias("pairs"),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from polyad.functions.values import count_where, ifelse
+from polyad.functions.values import correlation, count_where, ifelse
 from polyad.operators.aggregates import (
     correlation_matrix,
     coverage,
@@ -69,7 +69,7 @@ def component_dispersion(dyads: DataFrame) -> DataFrame:
 
 def conditional_correlation(dyads: DataFrame, index: str = "rev_potential_a", other: str = "hhi_import_b") -> DataFrame:
     """Correlation with the partner's vulnerability among rows above the index mean."""
-    return above_mean(dyads.select(index, other), index).agg(F.corr(index, other).alias("correlation"))
+    return above_mean(dyads.select(index, other), index).agg(correlation(index, other).alias("correlation"))
 
 
 def top_revisionists(dyads: DataFrame, year: int = 2022, k: int = 10, label: str = "iso3a") -> DataFrame:
