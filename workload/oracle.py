@@ -140,10 +140,10 @@ VIEWS = {
         SELECT o.*, unit AS COWcode FROM named_orders o JOIN name_units USING (name) WHERE unit IS NOT NULL""",
     "resources": """
         SELECT COWcode, year, oil_gas_pop, CASE WHEN oil_gas_pop > 100 THEN 1 ELSE 0 END AS is_petro_state_ross
-        FROM (SELECT COWcode, year, o_totalprice / 2000 AS oil_gas_pop,
+        FROM (SELECT COWcode, year, o_totalprice / 1900 AS oil_gas_pop,
                      row_number() OVER (PARTITION BY COWcode, year ORDER BY o_orderkey) AS r FROM named_units)
         WHERE r = 1""",
-    "gini": "SELECT COWcode, year, avg(o_totalprice % 60) AS gini_disp FROM named_units GROUP BY COWcode, year",
+    "gini": "SELECT COWcode, year, avg(o_totalprice / 7 % 60) AS gini_disp FROM named_units GROUP BY COWcode, year",
     "premium": """
         SELECT COWcode, year, avg(gdppc / 100) AS fraser_bmp_score FROM history_coded
         WHERE COWcode IS NOT NULL GROUP BY COWcode, year""",

@@ -130,7 +130,7 @@ def crosswalk_name(v: Views) -> DataFrame:
 @query
 def resource_wealth(v: Views) -> DataFrame:
     rows = v.named_orders().select(
-        F.col("name").alias("cty_name"), "year", "o_orderkey", (F.col("o_totalprice") / 2000).alias("oil_gas_valuePOP_2014")
+        F.col("name").alias("cty_name"), "year", "o_orderkey", (F.col("o_totalprice") / 1900).alias("oil_gas_valuePOP_2014")
     )
     return rounded(monadic.resource_wealth(rows, V.NAME_PATTERNS, ["o_orderkey"], V.NAME_OVERRIDES))
 
@@ -138,7 +138,7 @@ def resource_wealth(v: Views) -> DataFrame:
 @query
 def inequality_mean(v: Views) -> DataFrame:
     rows = v.named_orders().select(
-        F.col("name").alias("country"), "year", (F.col("o_totalprice") % 60).alias("gini_disp")
+        F.col("name").alias("country"), "year", (F.col("o_totalprice") / 7 % 60).alias("gini_disp")
     )
     return rounded(monadic.inequality_mean(rows, V.NAME_PATTERNS, V.NAME_OVERRIDES), 4)
 
@@ -246,8 +246,8 @@ def fan_out(v: Views) -> DataFrame:
 
 def economics(v: Views) -> list[DataFrame]:
     named = v.named_orders()
-    oil = named.select(F.col("name").alias("cty_name"), "year", "o_orderkey", (F.col("o_totalprice") / 2000).alias("oil_gas_valuePOP_2014"))
-    gini = named.select(F.col("name").alias("country"), "year", (F.col("o_totalprice") % 60).alias("gini_disp"))
+    oil = named.select(F.col("name").alias("cty_name"), "year", "o_orderkey", (F.col("o_totalprice") / 1900).alias("oil_gas_valuePOP_2014"))
+    gini = named.select(F.col("name").alias("country"), "year", (F.col("o_totalprice") / 7 % 60).alias("gini_disp"))
     premium = v.history().select(F.col("countrycode").alias("iso_code"), "year", (F.col("gdppc") / 100).alias("black_market_exchange_rate"))
     return [
         monadic.gdp_history(v.history(), v.crosswalk(), V.CODE_OVERRIDES),
