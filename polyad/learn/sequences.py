@@ -13,6 +13,7 @@ from polyad.operators.joins import key_join
 from polyad.operators.schema import as_category
 from polyad.operators.series import carry_forward
 from polyad.plans.constants import SEQUENCE_CATEGORIES, SEQUENCE_CLIPPED, SEQUENCE_LOGS, SEQUENCE_REALS
+from polyad.session import stage
 
 STEP = 4096
 
@@ -127,7 +128,8 @@ def latest_window_per_unit(
     reach = (
         df.groupBy(unit).agg(F.max(time).alias("__last"), F.count("*").alias("__rows")).where(F.col("__rows") >= min_rows)
     )
-    recent = key_join(df.select(unit, time, *columns), reach.select(unit, "__last"), [unit], "inner", null_safe=False)
+    reach = stage(reach.select(unit, "__last"), "reach")
+    recent = key_join(df.select(unit, time, *columns), reach, [unit], "inner", null_safe=False)
     first_decoded = F.col("__last") - (decoder - 1)
     return recent.where(F.col(time) >= first_decoded - encoder).select(
         unit,
@@ -149,7 +151,7 @@ def group_normalizer(df: DataFrame, group: str, target: str, floor: float = 1e-8
     stats = df.groupBy(group).agg(
         F.avg("target_softplus_inv").alias("target_center"), F.stddev_samp("target_softplus_inv").alias("target_scale")
     )
-    scaled = key_join(df, stats, [group])
+    scaled = key_join(df, stage(stats, "scales"), [group])
     return scaled.withColumn(
         "target_normalized",
         F.try_divide(F.col("target_softplus_inv") - F.col("target_center"), F.col("target_scale")),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from polyad.functions.values import correlation, percent_text, round_even
 from polyad.operators.joins import key_join
+from polyad.session import stage
 
 SKETCH_ACCURACY = 10_000
 BRACKET = 10 / SKETCH_ACCURACY
@@ -47,7 +48,8 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
         )
         for i, p in enumerate(probs)
     ]
-    sketch = sketch.select(*by, F.array(*brackets).alias("brackets"), "n")
+    # Written once: read by two joins, whose plans then know how small it is.
+    sketch = stage(sketch.select(*by, F.array(*brackets).alias("brackets"), "n"), "sketch")
 
     joined = key_join(data, sketch, by) if by else data.withColumn("brackets", sketch.select("brackets").scalar())
     narrowed = (

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from polyad.operators.joins import key_join
+from polyad.session import stage
 
 
 def _override(source: Column, overrides: Mapping[str, Any], otherwise: Column, dtype: str) -> Column:
@@ -51,9 +52,11 @@ def match_names(
     becomes a precompiled predicate on the distinct names, so no name-by-pattern
     join is made. A name that fits several units is ambiguous and gets NULL.
     """
-    names = df.select(name).where(F.col(name).isNotNull()).distinct()
+    # The text to match is an aggregate's result: later filters on the unit cannot
+    # be pushed below it, where the patterns would run on every raw row.
+    names = df.select(name).where(F.col(name).isNotNull()).groupBy(name).agg(F.max(name).alias("text"))
     hits = F.array_distinct(
-        F.array_compact(F.array(*[F.when(F.col(name).rlike(regex), F.lit(unit)) for regex, unit in patterns]))
+        F.array_compact(F.array(*[F.when(F.col("text").rlike(regex), F.lit(unit)) for regex, unit in patterns]))
     )
     known = list(overrides or {})
     overridden = F.col(name).isin(known) if known else F.lit(False)
@@ -77,6 +80,11 @@ def map_names(
     overrides: Mapping[str, int | None] | None = None,
     into: str = "unit",
 ) -> DataFrame:
-    """Attach the unit found by :func:`match_names` to every row."""
-    lookup = match_names(df, name, patterns, overrides).select(F.col(name).alias("__name"), F.col("unit").alias(into))
+    """Attach the unit found by :func:`match_names` to every row.
+
+    The matched names are staged: the join back then knows their size, and the
+    patterns run once.
+    """
+    found = stage(match_names(df, name, patterns, overrides).select(name, "unit"), "names")
+    lookup = found.select(F.col(name).alias("__name"), F.col("unit").alias(into))
     return key_join(df, lookup, {name: "__name"}, "left", null_safe=False)

@@ -75,6 +75,25 @@ def key_join(
     return joined.select(*[keys.get(c, F.col(c)) for c in left_columns], *[F.col(c) for c in payload])
 
 
+def events_join(left: DataFrame, events: DataFrame, on: Keys) -> DataFrame:
+    """Left join of unique rows to many events each; NULL keys match.
+
+    A plain left join keeps the event side whole per key. Here the events are
+    the streamed side of an inner join, whose hot keys can be split (or which
+    needs no shuffle when ``left`` is small), and left rows without an event are
+    added from the reduced set of event keys. Both inputs are read twice.
+    """
+    pairs = key_pairs(on)
+    to_left = {r: l for l, r in pairs}
+    keys = [l for l, _ in pairs]
+    payload = [c for c in events.columns if c not in to_left]
+    renamed = events.select(*[F.col(r).alias(l) for r, l in to_left.items()], *payload)
+    matched = key_join(renamed, left, keys, "inner")
+    seen = renamed.select(*keys).distinct().withColumn("__seen", F.lit(True))
+    alone = key_join(left, seen, keys).where(F.col("__seen").isNull()).drop("__seen")
+    return matched.select(*left.columns, *payload).unionByName(alone, allowMissingColumns=True)
+
+
 def coerce_keys(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
     """Cast the right keys to the left key types; values that do not parse become NULL."""
     left_types = {f.name: f.dataType for f in left.schema.fields}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from polyad.operators.aggregates import medians
 from polyad.operators.joins import key_join
+from polyad.session import stage
 
 
 def table_statistics(df: DataFrame, columns: Sequence[str]) -> Column:
@@ -42,5 +43,9 @@ def above_mean(df: DataFrame, column: str) -> DataFrame:
 
 
 def attach_medians(df: DataFrame, by: Sequence[str], value: str, into: str) -> DataFrame:
-    """Write each group's exact median back to its rows."""
-    return key_join(df, medians(df, by, value, into), list(by))
+    """Write each group's exact median back to its rows.
+
+    ``df`` is read three times. The medians are staged, so that the join back
+    broadcasts them when they are few and shuffles when they are not.
+    """
+    return key_join(df, stage(medians(df, by, value, into), "medians"), list(by))

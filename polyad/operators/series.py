@@ -1,56 +1,69 @@
 """Filling gaps in per-unit series.
 
 Rows are cut into blocks of ``step`` time values. Windows run inside
-(unit, block), so no task ever holds a whole long unit; what a block needs from
-its neighbours is carried by a table with one row per (unit, block). Times must
-be unique within a unit.
+(unit, block), so no task ever holds a whole long unit. What a block needs from
+its neighbours is put into it as one extra row at either edge before the only
+large shuffle, and removed afterwards. Times must be unique within a unit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from polyad.operators.joins import key_join
 
 STEP = 4096
+_BEFORE, _ROW, _AFTER = 0, 1, 2
 
 
-def _observation(time: str, column: str) -> Column:
-    return F.when(F.col(column).isNotNull(), F.struct(F.col(time).alias("t"), F.col(column).alias("v")))
+def _edges(rows: DataFrame, unit: str, time: str, columns: Sequence[str], ahead: bool) -> DataFrame:
+    """One extra row per block edge: the nearest observation on the other side of it."""
+    seen = {c: F.when(F.col(c).isNotNull(), F.col(time)) for c in columns}
+    ends = []
+    for c in columns:
+        ends += [F.max(seen[c]).alias(f"last_t_{c}"), F.max_by(c, seen[c]).alias(f"last_v_{c}")]
+        if ahead:
+            ends += [F.min(seen[c]).alias(f"first_t_{c}"), F.min_by(c, seen[c]).alias(f"first_v_{c}")]
+    summary = rows.groupBy(unit, "__block").agg(*ends)
+
+    earlier = Window.partitionBy(unit).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(unit).orderBy(F.col("__block").desc()).rowsBetween(Window.unboundedPreceding, -1)
+
+    def edge(place: int, side: str, over) -> DataFrame:
+        found = {
+            f"__obs_{c}": F.struct(
+                F.last(f"{side}_t_{c}", ignorenulls=True).over(over).alias("t"),
+                F.last(f"{side}_v_{c}", ignorenulls=True).over(over).alias("v"),
+            )
+            for c in columns
+        }
+        carried = summary.select(unit, "__block", F.lit(place).alias("__place"), *[e.alias(n) for n, e in found.items()])
+        known = {n: F.when(F.col(f"{n}.t").isNotNull(), F.col(n)) for n in found}
+        return carried.withColumns(known).where(F.coalesce(*found).isNotNull())
+
+    before = edge(_BEFORE, "last", earlier)
+    return before.unionByName(edge(_AFTER, "first", later)) if ahead else before
 
 
 def _with_neighbours(df: DataFrame, unit: str, time: str, columns: Sequence[str], step: int, ahead: bool) -> DataFrame:
     """Add ``__prev_c`` (and ``__next_c``): nearest observation at or before (after) each row."""
-    block = F.floor(F.col(time) / F.lit(step)).cast("bigint")
-    df = df.withColumn("__block", block)
+    rows = df.withColumn("__block", F.floor(F.col(time) / F.lit(step)).cast("bigint"))
+    observed = {
+        f"__obs_{c}": F.when(F.col(c).isNotNull(), F.struct(F.col(time).alias("t"), F.col(c).alias("v"))) for c in columns
+    }
+    padded = rows.withColumns({"__place": F.lit(_ROW), **observed}).unionByName(
+        _edges(rows, unit, time, columns, ahead), allowMissingColumns=True
+    )
     inside = Window.partitionBy(unit, "__block")
-    backward = inside.orderBy(F.col(time).desc())
-    forward = inside.orderBy(time)
-
-    local = {f"__prev_{c}": F.last(_observation(time, c), ignorenulls=True).over(forward) for c in columns}
-    edges = [F.max_by(_observation(time, c), F.when(F.col(c).isNotNull(), F.col(time))).alias(f"__last_{c}") for c in columns]
-    if ahead:
-        local |= {f"__next_{c}": F.last(_observation(time, c), ignorenulls=True).over(backward) for c in columns}
-        edges += [
-            F.min_by(_observation(time, c), F.when(F.col(c).isNotNull(), F.col(time))).alias(f"__first_{c}") for c in columns
-        ]
-
-    summary = df.groupBy(unit, "__block").agg(*edges)
-    before = Window.partitionBy(unit).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy(unit).orderBy(F.col("__block").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carried = {f"__before_{c}": F.last(f"__last_{c}", ignorenulls=True).over(before) for c in columns}
-    if ahead:
-        carried |= {f"__after_{c}": F.last(f"__first_{c}", ignorenulls=True).over(after) for c in columns}
-    carry = summary.select(unit, "__block", *[e.alias(n) for n, e in carried.items()])
-
-    joined = key_join(df.withColumns(local), carry, [unit, "__block"], "left")
-    filled = {f"__prev_{c}": F.coalesce(f"__prev_{c}", f"__before_{c}") for c in columns}
+    forward = inside.orderBy("__place", time)
+    backward = inside.orderBy(F.col("__place").desc(), F.col(time).desc())
+    near = {f"__prev_{c}": F.last(f"__obs_{c}", ignorenulls=True).over(forward) for c in columns}
     if ahead:
-        filled |= {f"__next_{c}": F.coalesce(f"__next_{c}", f"__after_{c}") for c in columns}
-    return joined.withColumns(filled).drop("__block", *carried)
+        near |= {f"__next_{c}": F.last(f"__obs_{c}", ignorenulls=True).over(backward) for c in columns}
+    return padded.withColumns(near).where(F.col("__place") == _ROW).drop("__block", "__place", *observed)
 
 
 def _strip(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from polyad.functions.geo import haversine_km
 from polyad.functions.values import flag, known_flag, sentinel_to_null, year_start
 from polyad.operators.crosswalk import map_codes
 from polyad.operators.grid import all_pairs
-from polyad.operators.joins import enrich_both_sides, key_join
+from polyad.operators.joins import enrich_both_sides, events_join, key_join
 from polyad.operators.scaling import attach_medians, zscores
 from polyad.operators.schema import drop, rename_aliases, starts_with
 from polyad.operators.spells import expand_spells, spell_tenure
@@ -50,7 +50,7 @@ def dyad_spine(
         F.col("importer_cow").alias("COWcode_b"),
         "RED_export_importance",
     )
-    return key_join(key_join(pairs, events, PAIR_KEY), shares, PAIR_KEY)
+    return events_join(key_join(pairs, shares, PAIR_KEY), events, PAIR_KEY)
 
 
 def monad_profile(

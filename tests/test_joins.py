@@ -21,6 +21,13 @@ def test_salt_changes_nothing(make, how):
     assert values(joins.key_join(left, right, ["k"], how, salt=7)) == values(joins.key_join(left, right, ["k"], how))
 
 
+def test_events_join_equals_a_left_join(make):
+    left = make("k int, y int, w string", [(1, 1, "a"), (1, 2, "b"), (None, 1, "c"), (3, 1, "d")])
+    events = make("unit int, y int, e int", [(1, 1, i) for i in range(5)] + [(None, 1, 7), (9, 9, 8)])
+    on = {"k": "unit", "y": "y"}
+    assert values(joins.events_join(left, events, on)) == values(joins.key_join(left, events, on))
+
+
 def test_collisions(make):
     left, right = make("k int, v int", [(1, 2)]), make("k int, v int", [(1, 3)])
     with pytest.raises(ValueError, match="both sides"):

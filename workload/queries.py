@@ -301,6 +301,7 @@ def base_panel(v: Views) -> DataFrame:
 
 def complete_monad(v: Views) -> DataFrame:
     """All monadic modules in order, on the base panel."""
+    v.land_links()
     panel = monadic.base_panel(scores(v), episodes(v)).withColumnRenamed("co_wcode", "COWcode")
     panel = monadic.dispute_monadic(panel, v.disputes())
     panel = with_bloc(v, panel)
@@ -422,6 +423,7 @@ def yearly_median(v: Views) -> DataFrame:
 
 
 def spine(v: Views, collapse: str | None = None) -> DataFrame:
+    v.land_links()
     trade = v.trade()
     overrides = {"NATION_13": None}
     codes = v.table("nation").select(F.col("n_name").alias("code"), F.col("n_nationkey").alias("unit"))

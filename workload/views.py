@@ -97,6 +97,14 @@ class Views:
         )
 
     def links(self) -> DataFrame:
+        return self.written.get("links") or self.build_links()
+
+    def land_links(self) -> None:
+        """Write the line-item rows once, for queries that read them as several sources."""
+        if "links" not in self.written:
+            self.written["links"] = stage(self.build_links(), "links")
+
+    def build_links(self) -> DataFrame:
         """One row per line item: supplier nation a, customer nation b, ship year."""
         buyers = (
             self.table("orders")
