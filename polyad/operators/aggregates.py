@@ -18,6 +18,7 @@ from polyad.session import stage
 SKETCH_ACCURACY = 10_000
 BRACKET = 10 / SKETCH_ACCURACY
 SMALL_GROUP = 10_000
+CELLS = 1024
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
@@ -25,12 +26,15 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
 
     A first pass sketches a narrow bracket around each quantile. A second pass
     counts what lies below the bracket and keeps only the distinct values inside
-    it, so even a group that holds most rows sorts a thin slice of its values.
-    The bracket is ten times the sketch's error bound; should a target rank ever
-    fall outside, the query fails rather than return an approximation. Groups of
-    at most ``SMALL_GROUP`` rows use their whole range as the bracket.
+    it. Those are counted per cell of equal width, and only the cells that hold a
+    wanted rank are sorted. So a group that holds most rows is never gathered:
+    its last step sorts a thin slice of a thin slice. The bracket is ten times
+    the sketch's error bound; should a rank ever fall outside, the query fails
+    rather than return an approximation. Groups of at most ``SMALL_GROUP`` rows
+    use their whole range as the bracket.
     """
     by = list(by)
+    key = [*by, "prob"]
     data = df.select(*by, F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
     edges = [edge for p in probs for edge in (max(p - BRACKET, 0.0), min(p + BRACKET, 1.0))]
     sketch = data.groupBy(*by).agg(
@@ -45,39 +49,54 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
             F.lit(p).alias("prob"),
             F.when(small | F.lit(p <= BRACKET), F.col("least")).otherwise(F.col("edge")[2 * i]).alias("lo"),
             F.when(small | F.lit(p >= 1 - BRACKET), F.col("most")).otherwise(F.col("edge")[2 * i + 1]).alias("hi"),
+            ((F.col("n") - 1) * F.lit(p)).alias("rank"),
         )
         for i, p in enumerate(probs)
     ]
-    # Written once: read by two joins, whose plans then know how small it is.
-    sketch = stage(sketch.select(*by, F.array(*brackets).alias("brackets"), "n"), "sketch")
+    # Written once: read by several joins, whose plans then know how small it is.
+    sketch = stage(sketch.select(*by, F.array(*brackets).alias("brackets")), "sketch")
 
-    joined = key_join(data, sketch, by) if by else data.withColumn("brackets", sketch.select("brackets").scalar())
-    narrowed = (
+    joined = key_join(data, sketch, by) if by else data.withColumn("brackets", sketch.scalar())
+    counts = (
         joined.select(*by, "v", F.inline("brackets"))
         .where(F.col("v") <= F.col("hi"))
-        .select(*by, "prob", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("inside"))
-        .groupBy(*by, "prob", "inside")
+        .select(*by, "prob", "lo", "hi", F.when(F.col("v") >= F.col("lo"), F.col("v")).alias("inside"))
+        .groupBy(*key, "lo", "hi", "inside")
         .agg(F.count("*").alias("c"))
     )
-    running = Window.partitionBy(*by, "prob").orderBy(F.col("inside").asc_nulls_first())
-    ranked = narrowed.withColumn("upto", F.sum("c").over(running))
-    n = sketch.select(*by, "n")
-    ranked = key_join(ranked, n, by) if by else ranked.withColumn("n", n.scalar())
+    width = (F.col("hi") - F.col("lo")) / CELLS
+    cell = F.when(F.col("inside").isNull(), -1).otherwise(
+        F.coalesce(F.least(F.floor(F.try_divide(F.col("inside") - F.col("lo"), width)), F.lit(CELLS - 1)), F.lit(0))
+    )
+    counts = counts.select(*key, cell.cast("int").alias("cell"), "inside", "c")
+
+    def upto(total: str, keys: Sequence[str], order: str) -> Column:
+        return F.sum(total).over(Window.partitionBy(*keys).orderBy(order))
+
+    def holds(position: Column, count: str) -> Column:
+        return (F.col("upto") > position) & (F.col("upto") - F.col(count) <= position)
 
-    h = (F.col("n") - 1) * F.col("prob")
+    ranks = sketch.select(*by, F.inline("brackets")).select(
+        *key, "rank", F.floor("rank").alias("below"), F.ceil("rank").alias("above")
+    )
+    cells = counts.groupBy(*key, "cell").agg(F.sum("c").alias("m")).withColumn("upto", upto("m", key, "cell"))
+    wanted = key_join(cells, ranks, key, "inner").where(
+        holds(F.col("below"), "m") | holds(F.col("above"), "m")
+    )
+    starts = wanted.select(*key, "cell", (F.col("upto") - F.col("m")).alias("start"), "rank", "below", "above")
+    sliced = key_join(counts, starts, [*key, "cell"], "inner")
+    ranked = sliced.withColumn("upto", F.col("start") + upto("c", [*key, "cell"], "inside"))
 
-    def value_at(position: Column) -> Column:
-        hit = (F.col("upto") > position) & (F.col("upto") - F.col("c") <= position)
-        return F.max(F.when(hit, F.col("inside")))
+    def value_at(position: str) -> Column:
+        return F.max(F.when(holds(F.col(position), "c"), F.col("inside")))
 
-    picked = ranked.groupBy(*by, "prob").agg(
-        F.max(h - F.floor(h)).alias("w"), value_at(F.floor(h)).alias("lower"), value_at(F.ceil(h)).alias("upper")
+    picked = ranked.groupBy(*key).agg(
+        F.max(F.col("rank") - F.col("below")).alias("w"), value_at("below").alias("lower"), value_at("above").alias("upper")
     )
     exact = F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("w")
     missed = F.col("lower").isNull() | F.col("upper").isNull()
     return picked.select(
-        *by,
-        "prob",
+        *key,
         F.when(missed, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double"))
         .otherwise(exact)
         .alias("quantile"),

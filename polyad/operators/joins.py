@@ -89,8 +89,7 @@ def events_join(left: DataFrame, events: DataFrame, on: Keys) -> DataFrame:
     payload = [c for c in events.columns if c not in to_left]
     renamed = events.select(*[F.col(r).alias(l) for r, l in to_left.items()], *payload)
     matched = key_join(renamed, left, keys, "inner")
-    seen = renamed.select(*keys).distinct().withColumn("__seen", F.lit(True))
-    alone = key_join(left, seen, keys).where(F.col("__seen").isNull()).drop("__seen")
+    alone = key_join(left, renamed.select(*keys).distinct(), keys, "left_anti")
     return matched.select(*left.columns, *payload).unionByName(alone, allowMissingColumns=True)
 
 
@@ -142,16 +141,21 @@ def interval_member(
     start: str = "start_year",
     end: str = "end_year",
     into: str = "member",
+    horizon: tuple[int, int] | None = None,
 ) -> DataFrame:
     """0/1 flag: is the unit inside one of its roster intervals at that time?
 
-    The roster is unrolled to distinct unit-times inside the panel's own time
-    range, so that open ends stay short and several intervals of one unit
-    cannot multiply panel rows.
+    The roster is unrolled to distinct unit-times inside ``horizon`` (by default
+    the panel's own time range, at the price of a second scan), so that open
+    ends stay short and several intervals of one unit cannot multiply panel rows.
     """
-    reach = panel.agg(F.struct(F.min(time).alias("lo"), F.max(time).alias("hi"))).scalar()
-    first = F.greatest(F.col(start), reach["lo"])
-    last = F.least(F.col(end), reach["hi"])
+    if horizon is None:
+        reach = panel.agg(F.struct(F.min(time).alias("lo"), F.max(time).alias("hi"))).scalar()
+        low, high = reach["lo"], reach["hi"]
+    else:
+        low, high = F.lit(horizon[0]), F.lit(horizon[1])
+    first = F.greatest(F.col(start), low)
+    last = F.least(F.col(end), high)
     unrolled = (
         roster.select(F.col(unit), first.alias("first"), last.alias("last"))
         .where(F.col("first") <= F.col("last"))

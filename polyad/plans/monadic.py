@@ -107,13 +107,17 @@ def dispute_monadic(panel: DataFrame, disputes: DataFrame, first_year: int = 194
 
 
 def bloc_membership(
-    panel: DataFrame, roster: DataFrame, region: tuple[int, int] = (20, 200), eligible_from: int = 2004
+    panel: DataFrame,
+    roster: DataFrame,
+    region: tuple[int, int] = (20, 200),
+    eligible_from: int = 2004,
+    horizon: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Eligibility by region and year, membership by roster interval."""
     low, high = region
     inside = (F.col("COWcode") > low) & (F.col("COWcode") < high)
     panel = panel.withColumn("alba_possible", flag(inside & (F.col("year") >= eligible_from)))
-    return interval_member(panel, roster, "COWcode", "year", into="alba_member")
+    return interval_member(panel, roster, "COWcode", "year", into="alba_member", horizon=horizon)
 
 
 def membership_violations(panel: DataFrame, region_end: int = 200, eligible_from: int = 2004) -> DataFrame:

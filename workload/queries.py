@@ -55,7 +55,8 @@ def dispute_monadic(v: Views) -> DataFrame:
 
 
 def with_bloc(v: Views, panel: DataFrame) -> DataFrame:
-    return monadic.bloc_membership(panel, v.roster(), region=V.REGION, eligible_from=V.ELIGIBLE_FROM)
+    years = (V.FIRST_YEAR, V.LAST_YEAR)
+    return monadic.bloc_membership(panel, v.roster(), V.REGION, V.ELIGIBLE_FROM, horizon=years)
 
 
 @query
@@ -307,7 +308,7 @@ def complete_monad(v: Views) -> DataFrame:
     panel = with_bloc(v, panel)
     panel = monadic.trade_dependence(panel, v.trade(), PARTNERS)
     panel = monadic.alliance_weighted(panel, v.alliances())
-    panel = monadic.ideology_recode(panel, v.ideology())
+    panel = stage(monadic.ideology_recode(panel, v.ideology()), "panel")
     panel = monadic.unify_indicators(panel, *economics(v))
     panel = monadic.unified_index(panel)
     shares = v.panel().select("COWcode", "year", *SHARES).where("year % 3 = 0")
@@ -444,7 +445,7 @@ def extreme(v: Views) -> DataFrame:
 
 
 def indexed(v: Views) -> DataFrame:
-    return dyadic.revisionist_index(stage(extreme(v), "extremity"), "z")
+    return dyadic.revisionist_index(extreme(v), "z")
 
 
 PAIR = ["COWcode_a", "COWcode_b", "year"]
@@ -533,12 +534,12 @@ def spell_tenure(v: Views) -> DataFrame:
 
 
 def led(v: Views) -> DataFrame:
-    return dyadic.dyad_leaders(profiled(v).select(*PAIR, "v2x_libdem_a"), leaders(v))
+    return dyadic.dyad_leaders(spine(v).select(*PAIR), leaders(v))
 
 
 @query
 def dyad_leaders(v: Views) -> DataFrame:
-    return rounded(led(v).drop("v2x_libdem_a"))
+    return led(v)
 
 
 @query
@@ -553,7 +554,7 @@ def leader_events(v: Views) -> DataFrame:
 
 @query
 def leader_tenure_summary(v: Views) -> DataFrame:
-    return rounded(checks.leader_tenure_summary(stage(led(v), "led")))
+    return rounded(checks.leader_tenure_summary(stage(led(v).select("leader_tenure_years_a", "leader_tenure_years_b"), "led")))
 
 
 @query
@@ -575,7 +576,7 @@ def dyad_master(v: Views) -> DataFrame:
 
 @query
 def index_summary(v: Views) -> DataFrame:
-    return rounded(checks.index_summary(stage(indexed(v), "index")))
+    return rounded(checks.index_summary(stage(indexed(v).select(*checks.INDEX_COLUMNS), "index")))
 
 
 @query
@@ -605,7 +606,7 @@ def dispersion(v: Views) -> DataFrame:
 
 @query
 def cond_corr(v: Views) -> DataFrame:
-    return rounded(checks.conditional_correlation(stage(indexed(v), "index")))
+    return rounded(checks.conditional_correlation(stage(indexed(v).select("rev_potential_a", "hhi_import_b"), "index")))
 
 
 @query
