@@ -17,6 +17,7 @@ from polyad.operators.schema import drop, rename_aliases, starts_with
 from polyad.operators.spells import expand_spells, spell_tenure
 from polyad.plans.constants import LEADER_COLUMNS, MONAD_ALIASES
 from polyad.plans.monadic import concentration_by
+from polyad.session import stage
 
 SIDES = {"_a": "COWcode_a", "_b": "COWcode_b"}
 PAIR_KEY = ["year", "COWcode_a", "COWcode_b"]
@@ -50,7 +51,8 @@ def dyad_spine(
         F.col("importer_cow").alias("COWcode_b"),
         "RED_export_importance",
     )
-    return events_join(key_join(pairs, shares, PAIR_KEY), events, PAIR_KEY)
+    # Staged: read twice below, and its size decides whether the events are shuffled at all.
+    return events_join(stage(key_join(pairs, shares, PAIR_KEY), "pairs"), events, PAIR_KEY)
 
 
 def monad_profile(

@@ -20,6 +20,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no call-site lookup per column
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")  # keep all local cores busy
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
     )
