@@ -528,15 +528,15 @@ BODIES = {
     + ", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in PACTS.split())
     + " FROM panel p LEFT JOIN pact_units t ON stateA = p.COWcode AND t.year = p.year",
     "ideology_recode": "SELECT * FROM ideology_panel",
-    "gdp_history": f"SELECT COWcode, year, {r('maddison_gdp_pc maddison_pop', 4)} FROM gdp_history",
+    "gdp_history": f"SELECT COWcode, year, {r('maddison_gdp_pc maddison_pop', 7)} FROM gdp_history",
     "crosswalk_code": """
         SELECT COWcode, count(*) AS n, count(DISTINCT countrycode) AS codes FROM history_coded GROUP BY COWcode""",
     "crosswalk_name": "SELECT * FROM name_units",
     "resource_wealth": f"SELECT COWcode, year, {r('oil_gas_pop')}, is_petro_state_ross FROM resources",
-    "inequality_mean": f"SELECT COWcode, year, {r('gini_disp', 4)} FROM gini",
-    "premium_mean": f"SELECT COWcode, year, {r('fraser_bmp_score', 4)} FROM premium",
+    "inequality_mean": f"SELECT COWcode, year, {r('gini_disp', 7)} FROM gini",
+    "premium_mean": f"SELECT COWcode, year, {r('fraser_bmp_score', 7)} FROM premium",
     "indicator_panel": f"""
-        SELECT COWcode, year, {r('wdi_gdp_pc wdi_pop resource_rents corruption_control govt_effectiveness', 4)}
+        SELECT COWcode, year, {r('wdi_gdp_pc wdi_pop resource_rents corruption_control govt_effectiveness', 7)}
         FROM indicators""",
     "indicator_panel_pooled": """
         WITH means AS (SELECT year, avg(corruption_control) AS c, avg(govt_effectiveness) AS g FROM reduced GROUP BY year),
@@ -553,9 +553,9 @@ BODIES = {
                               f AS (ORDER BY year ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
         curve AS (SELECT year, coalesce(c, c0 + (c1 - c0) * (year - ct0) / nullif(ct1 - ct0, 0), c0, c1) AS c,
                          coalesce(g, g0 + (g1 - g0) * (year - gt0) / nullif(gt1 - gt0, 0), g0, g1) AS g FROM near)
-        SELECT COWcode, r.year, round(wdi_gdp_pc, 4) AS wdi_gdp_pc, CAST(0 AS DOUBLE) AS wdi_pop,
-               round(resource_rents, 4) AS resource_rents, round(c, 4) AS corruption_control,
-               round(g, 4) AS govt_effectiveness
+        SELECT COWcode, r.year, round(wdi_gdp_pc, 7) AS wdi_gdp_pc, CAST(0 AS DOUBLE) AS wdi_pop,
+               round(resource_rents, 7) AS resource_rents, round(c, 7) AS corruption_control,
+               round(g, 7) AS govt_effectiveness
         FROM reduced r JOIN curve ON curve.year = r.year""",
     "indicator_union": """
         SELECT o_orderkey, round(o_totalprice, 2) AS o_totalprice,
@@ -579,7 +579,7 @@ BODIES = {
     "unify_indicators": f"""
         SELECT COWcode, year, is_petro_state_ross, is_petro_state, {r(
             "maddison_gdp_pc maddison_pop wdi_gdp_pc wdi_pop resource_rents corruption_control govt_effectiveness"
-            " oil_gas_pop gini_disp fraser_bmp_score unified_gdp_pc unified_pop log_oil_gas_wealth log_gdp_pc log_pop", 4)}
+            " oil_gas_pop gini_disp fraser_bmp_score unified_gdp_pc unified_pop log_oil_gas_wealth log_gdp_pc log_pop", 7)}
         FROM unified""",
     "base_panel": """
         SELECT p.country_name, p.year, COWcode AS country_id, upper(substring(country_name, 1, 3)) AS country_text_id,
@@ -605,15 +605,15 @@ BODIES = {
                   WINDOW p AS (PARTITION BY COWcode ORDER BY year ROWS UNBOUNDED PRECEDING),
                          f AS (PARTITION BY COWcode ORDER BY year ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)))
         SELECT b.country_name, b.year, b.COWcode AS country_id, upper(substring(b.country_name, 1, 3)) AS country_text_id,
-               b.COWcode, {r('v2x_libdem v2x_corr v2exl_legitideol', 4)}, reg_trans,
-               d.* EXCLUDE (COWcode, year), alba_possible, alba_member, {r(TRADE, 4)},
+               b.COWcode, {r('v2x_libdem v2x_corr v2exl_legitideol', 7)}, reg_trans,
+               d.* EXCLUDE (COWcode, year), alba_possible, alba_member, {r(TRADE, 7)},
                {', '.join(f'CAST(coalesce({c}, 0) AS BIGINT) AS {c}' for c in PACTS.split())},
-               i.* EXCLUDE (COWcode, year), {r('resource_rents gini_disp fraser_bmp_score unified_gdp_pc unified_pop', 4)},
-               is_petro_state, {r('log_oil_gas_wealth log_gdp_pc log_pop', 4)},
+               i.* EXCLUDE (COWcode, year), {r('resource_rents gini_disp fraser_bmp_score unified_gdp_pc unified_pop', 7)},
+               is_petro_state, {r('log_oil_gas_wealth log_gdp_pc log_pop', 7)},
                CASE WHEN aut_ep_id IS NOT NULL THEN 1 ELSE 0 END AS is_aut_episode,
                CASE WHEN dem_ep_id IS NOT NULL THEN 1 ELSE 0 END AS is_dem_episode,
-               round(coalesce(v2x_corr, (2.5 - corruption_control) / 5), 4) AS unified_corruption,
-               round(s.islmgenpct, 4) AS islmgenpct, round(s.chrstgenpct, 4) AS chrstgenpct
+               round(coalesce(v2x_corr, (2.5 - corruption_control) / 5), 7) AS unified_corruption,
+               round(s.islmgenpct, 7) AS islmgenpct, round(s.chrstgenpct, 7) AS chrstgenpct
         FROM bloc b LEFT JOIN episodes e ON e.country_id = b.COWcode AND e.year = b.year
         JOIN dispute_panel d ON d.COWcode = b.COWcode AND d.year = b.year
         LEFT JOIN trade_units t ON exporter_cow = b.COWcode AND t.year = b.year
@@ -622,11 +622,11 @@ BODIES = {
         JOIN unified n ON n.COWcode = b.COWcode AND n.year = b.year
         JOIN shares s ON s.COWcode = b.COWcode AND s.year = b.year""",
     "unified_index": """
-        SELECT p.COWcode, p.year, round(v2x_corr, 4) AS v2x_corr, reg_trans, row_regtrans,
-               round(wdi.resource_rents, 4) AS resource_rents,
+        SELECT p.COWcode, p.year, round(v2x_corr, 7) AS v2x_corr, reg_trans, row_regtrans,
+               round(wdi.resource_rents, 7) AS resource_rents,
                CASE WHEN aut_ep_id IS NOT NULL THEN 1 ELSE 0 END AS is_aut_episode,
                CASE WHEN dem_ep_id IS NOT NULL THEN 1 ELSE 0 END AS is_dem_episode,
-               round(coalesce(v2x_corr, (2.5 - corruption_control) / 5), 4) AS unified_corruption
+               round(coalesce(v2x_corr, (2.5 - corruption_control) / 5), 7) AS unified_corruption
         FROM panel p LEFT JOIN episodes e ON e.country_id = COWcode AND e.year = p.year
         LEFT JOIN indicators wdi ON wdi.COWcode = p.COWcode AND wdi.year = p.year""",
     "grid_complete": f"SELECT COWcode, year, {r(PCT)} FROM sparse_grid",
@@ -904,7 +904,7 @@ BODIES = {
                      o_totalprice / 70000 + ln(1 - exp(-o_totalprice / 70000)) AS x FROM unit_orders)
         WINDOW w AS (PARTITION BY u)""",
     "pinball_loss": " UNION ALL ".join(
-        f"""SELECT CAST({q} AS DOUBLE) AS quantile, round(avg(greatest(({q} - 1) * e, {q} * e)), 4) AS loss
+        f"""SELECT CAST({q} AS DOUBLE) AS quantile, round(avg(greatest(({q} - 1) * e, {q} * e)), 7) AS loss
             FROM (SELECT o_totalprice / 1000 - (500 * {q} + o_orderkey % 10) AS e FROM orders)"""
         for q in (0.02, 0.1, 0.25, 0.5, 0.75, 0.9, 0.98)
     ),
@@ -914,7 +914,7 @@ BODIES = {
                           covar_pop(l_quantity, l_extendedprice) AS ab, covar_pop(l_quantity, income) AS ay,
                           covar_pop(l_extendedprice, income) AS by_ FROM imputable WHERE income IS NOT NULL),
         f AS (SELECT *, (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS p, (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS q FROM m)
-        SELECT l_orderkey, l_linenumber, round(v, 4) AS income, round(ln(1 + v), 4) AS log_income
+        SELECT l_orderkey, l_linenumber, round(v, 7) AS income, round(ln(1 + v), 7) AS log_income
         FROM (SELECT l_orderkey, l_linenumber,
                      coalesce(income, y + p * (l_quantity - a) + q * (l_extendedprice - b)) AS v FROM imputable, f)""",
     "impute_report": """

@@ -119,7 +119,7 @@ def ideology_recode(v: Views) -> DataFrame:
 
 @query
 def gdp_history(v: Views) -> DataFrame:
-    return rounded(monadic.gdp_history(v.history(), v.crosswalk(), V.CODE_OVERRIDES), 4)
+    return rounded(monadic.gdp_history(v.history(), v.crosswalk(), V.CODE_OVERRIDES), 7)
 
 
 @query
@@ -147,7 +147,7 @@ def inequality_mean(v: Views) -> DataFrame:
     rows = v.named_orders().select(
         F.col("name").alias("country"), "year", (F.col("o_totalprice") / 7 % 60).alias("gini_disp")
     )
-    return rounded(monadic.inequality_mean(rows, V.NAME_PATTERNS, V.NAME_OVERRIDES), 4)
+    return rounded(monadic.inequality_mean(rows, V.NAME_PATTERNS, V.NAME_OVERRIDES), 7)
 
 
 @query
@@ -155,12 +155,12 @@ def premium_mean(v: Views) -> DataFrame:
     rows = v.history().select(
         F.col("countrycode").alias("iso_code"), "year", (F.col("gdppc") / 100).alias("black_market_exchange_rates")
     )
-    return rounded(monadic.premium_mean(rows, v.crosswalk(), V.CODE_OVERRIDES), 4)
+    return rounded(monadic.premium_mean(rows, v.crosswalk(), V.CODE_OVERRIDES), 7)
 
 
 @query
 def indicator_panel(v: Views) -> DataFrame:
-    return rounded(monadic.indicator_panel(v.economy(), v.governance(), v.crosswalk(), V.CODE_OVERRIDES), 4)
+    return rounded(monadic.indicator_panel(v.economy(), v.governance(), v.crosswalk(), V.CODE_OVERRIDES), 7)
 
 
 @query
@@ -171,7 +171,7 @@ def indicator_panel_pooled(v: Views) -> DataFrame:
         monadic.indicator_panel(
             economy, v.governance(), v.crosswalk(), V.CODE_OVERRIDES, pooled=True, empty_population="zero"
         ),
-        4,
+        7,
     )
 
 
@@ -267,7 +267,7 @@ def economics(v: Views) -> list[DataFrame]:
 
 @query
 def unify_indicators(v: Views) -> DataFrame:
-    return rounded(monadic.unify_indicators(v.panel().select("COWcode", "year"), *economics(v)), 4)
+    return rounded(monadic.unify_indicators(v.panel().select("COWcode", "year"), *economics(v)), 7)
 
 
 def episodes(v: Views) -> DataFrame:
@@ -324,7 +324,7 @@ def complete_monad(v: Views) -> DataFrame:
 
 @query
 def monadic_master(v: Views) -> DataFrame:
-    return rounded(complete_monad(v), 4)
+    return rounded(complete_monad(v), 7)
 
 
 @query
@@ -333,7 +333,7 @@ def unified_index(v: Views) -> DataFrame:
     panel = joins.key_join(panel, episodes(v).withColumnRenamed("country_id", "COWcode").drop("country_name"), ["COWcode", "year"])
     govern = monadic.indicator_panel(v.economy(), v.governance(), v.crosswalk(), V.CODE_OVERRIDES)
     panel = joins.key_join(panel, govern, ["COWcode", "year"])
-    return rounded(monadic.unified_index(panel.withColumn("e_raw", F.lit(1))), 4)
+    return rounded(monadic.unified_index(panel.withColumn("e_raw", F.lit(1))), 7)
 
 
 # -- series ---------------------------------------------------------------------
@@ -821,7 +821,7 @@ def normalize_groups(v: Views) -> DataFrame:
 def pinball_loss(v: Views) -> DataFrame:
     orders = v.table("orders").select((F.col("o_totalprice") / 1000).alias("target"), "o_orderkey")
     orders = orders.withColumns({f"p_{i}": 500 * F.lit(q) + F.col("o_orderkey") % 10 for i, q in enumerate(QUANTILES)})
-    return rounded(quantile_loss(orders, "target", {q: f"p_{i}" for i, q in enumerate(QUANTILES)}), 4)
+    return rounded(quantile_loss(orders, "target", {q: f"p_{i}" for i, q in enumerate(QUANTILES)}), 7)
 
 
 def imputable(v: Views) -> DataFrame:
@@ -847,14 +847,14 @@ def impute_deterministic(v: Views) -> DataFrame:
     """One target on two complete predictors: ordinary least squares."""
     done = chained_imputation(imputable(v), ["income"], ["l_quantity", "l_extendedprice"], ITEM, sample=False, ridge=0.0)
     logs = refresh_logs(done.filled, {"log_income": "income"})
-    return rounded(logs.select(*ITEM, "income", "log_income"), 4)
+    return rounded(logs.select(*ITEM, "income", "log_income"), 7)
 
 
 @query
 def impute_sampled(v: Views) -> DataFrame:
     """Three targets with gaps, ten rounds, drawn residuals; observed values stay."""
     done = chained_imputation(imputable(v), ["income", "wealth", "rents"], ["l_quantity", "l_extendedprice"], ITEM)
-    return rounded(done.filled.select(*ITEM, "income", "wealth", "rents"), 4)
+    return rounded(done.filled.select(*ITEM, "income", "wealth", "rents"), 7)
 
 
 @query
