@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from polyad.functions.values import (
     any_event,
-    cases,
     concentration,
     count_where,
     fill_with,
