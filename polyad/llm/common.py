@@ -6,6 +6,7 @@ import sys
 import types
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,20 @@ def rows(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple]:
             yield from zip(*(column.to_pylist() for column in part.columns), strict=True)
 
 
+def by_size(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of Arrow batches with about ``most`` bytes of one string column each, or a single longer row."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def blocks(source: Iterator[tuple], text_at: int, most_chars: int = 4_000_000, most_rows: int = 2000) -> Iterator[list[tuple]]:
     """Rows in lists that close once they hold ``most_chars`` of text or ``most_rows`` rows."""
     held, size = [], 0

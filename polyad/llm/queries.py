@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprint, language, quality
+from . import bpe, fingerprint, language, lm, quality
 from .common import read, remainder
 
 
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return lm.score(docs, remainder("doc_id", 10) != 0, remainder("doc_id", 10) == 0)
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     table = language.profiles(docs.where(remainder("doc_id", 4) != 2))
@@ -15,6 +20,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     labels = read(spark, sf_dir, "labels").where(remainder("doc_id", 3) != 1)
@@ -26,5 +37,5 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.neighbours(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_language, op7_quality, op8_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_lm_scores, op3_language, op6_byte_bpe, op7_quality, op8_fingerprints)}
 ORACLE: dict[str, str] = {}
