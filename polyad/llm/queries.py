@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, language, lm, quality
+from . import bpe, fingerprint, language, lm, neardup, quality
 from .common import read, remainder
 
 
@@ -20,6 +20,10 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -37,5 +41,5 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.neighbours(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scores, op3_language, op6_byte_bpe, op7_quality, op8_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_lm_scores, op3_language, op5_near_duplicates, op6_byte_bpe, op7_quality, op8_fingerprints)}
 ORACLE: dict[str, str] = {}
