@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, language, lm, neardup, quality
+from . import bpe, decontaminate, fingerprint, language, lm, neardup, quality
 from .common import read, remainder
 
 
@@ -41,5 +41,9 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.neighbours(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scores, op3_language, op5_near_duplicates, op6_byte_bpe, op7_quality, op8_fingerprints)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op1_lm_scores, op3_language, op5_near_duplicates, op6_byte_bpe, op7_quality, op8_fingerprints, op10_decontamination)}
 ORACLE: dict[str, str] = {}
