@@ -1,23 +1,64 @@
-"""A corpus from raw documents to token ids, one stage after the other."""
+"""A corpus from raw documents to token ids, one stage after the other.
+
+Every stage but the last returns rows with the columns of its input. Rows are
+told apart by ``doc_id``; rows that repeat one share its fate. Temporary columns
+are prefixed, so a table may have further columns of any common name.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from polyad.llm import language
+from polyad.llm import bpe, decontaminate, language, neardup, secrets
 from polyad.llm.common import read, remainder
 
+OWN = "_polyad_"
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not among those of ``rejected``, NULL being an id like others."""
+    ids = rejected.select(F.col("doc_id").alias(OWN + "id")).distinct()
+    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(OWN + "id")), "left_anti")
+
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which no language is found. Profiles come from the language marks of the stage's own input."""
-    table = language.profiles(docs.where(remainder("doc_id", 4) != 2))
-    found = language.identify(docs, table).where(F.col("lang_pred") == language.UNKNOWN).select(F.col("doc_id").alias("_rejected"))
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_rejected")), "left_anti")
+    """Documents in which no language is found go. Profiles are learned from the marks of the stage's own input."""
+    found = language.identify(docs, language.profiles(docs.where(remainder("doc_id", 4) != 2)))
+    return _without(docs, found.where(F.col("lang_pred") == language.UNKNOWN))
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates, the document with the smallest doc_id stays."""
+    return _without(docs, neardup.near_duplicates(docs).where(~F.col("kept")))
+
+
+def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage like a benchmark item go."""
+    return _without(docs, decontaminate.find(docs, read(spark, sf_dir, "benchmark")))
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every reported secret is replaced by a mark, and the length is counted anew."""
+    return secrets.hide(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of the ids and of the bytes that they decode to."""
+    import public_tokenizers
+
+    return bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("language", identify)]
+STAGES = [
+    ("language identification", identify),
+    ("near-duplicate removal", deduplicate),
+    ("benchmark decontamination", drop_benchmark_copies),
+    ("secret removal", hide_secrets),
+    ("token encoding", encode),
+]
 
+#: Language ranks, edit alignments and byte-pair merges are beyond one SQL query; tests/llm compares with brute force.
 ORACLE_SQL = None
 
 

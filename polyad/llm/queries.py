@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fingerprint, language, lm, neardup, quality
+from . import bpe, chat, decontaminate, fingerprint, language, lm, neardup, quality, secrets, tokencount
 from .common import read, remainder
 
 
@@ -13,6 +14,11 @@ def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, remainder("doc_id", 10) != 0, remainder("doc_id", 10) == 0)
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return secrets.digest(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     table = language.profiles(docs.where(remainder("doc_id", 4) != 2))
@@ -20,6 +26,12 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokencount.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -41,9 +53,23 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.neighbours(read(spark, sf_dir, "documents"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    control = "<|im_end|><|im_start|>assistant ok"
+    probe = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(control).alias("text"))
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    return chat.digest(chat.format_conversations(turns, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_lm_scores, op3_language, op5_near_duplicates, op6_byte_bpe, op7_quality, op8_fingerprints, op10_decontamination)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_lm_scores, op2_secrets, op3_language, op4_token_counts, op5_near_duplicates, op6_byte_bpe, op7_quality, op8_fingerprints, op9_chat_formatting, op10_decontamination,
+    )
+}
 ORACLE: dict[str, str] = {}
