@@ -95,7 +95,7 @@ def scan(docs: DataFrame, owner: Column, repository: Column, most_owners: int =
 def digest(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
     """One row per row of ``docs``: counts of the base kinds, a hash of the base spans, all reported spans, and how many are live.
 
-    Spans of the further kinds are left out where a base span covers them.
+    Spans of the further kinds are left out where a span of a kind listed before covers them.
     """
     rows, spans = scan(docs, owner, repository)
     kinds = F.array(*(F.lit(k) for k in KINDS))
@@ -106,7 +106,7 @@ def digest(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
 
     every = F.coalesce("found", F.expr("cast(array() AS array<struct<start:int, kind:int, stop:int, live:boolean>>)"))
     base = F.filter(every, lambda x: x["kind"] < len(BASE))
-    found = F.filter(every, lambda x: (x["kind"] < len(BASE)) | ~F.exists(base, lambda b: (b["start"] <= x["start"]) & (x["stop"] <= b["stop"])))
+    found = F.filter(every, lambda x: (x["kind"] < len(BASE)) | ~F.exists(every, lambda b: (b["kind"] < x["kind"]) & (b["start"] <= x["start"]) & (x["stop"] <= b["stop"])))
     count = lambda kind: F.size(F.filter(found, lambda x: x["kind"] == ORDER[kind])).cast("long").alias(f"n_{kind}")
     return rows.join(listed, "key", "left").select(
         "doc_id", *(count(k) for k in BASE), F.sha2(joined(base), 256).alias("base_sha256"), joined(found).alias("spans"),
