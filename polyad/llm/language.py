@@ -8,142 +8,112 @@ The language with the least sum wins, the first by name among equals.
 Edge cases: a text that is NULL, empty or without a letter is ``und`` with score
 0; so is any text when no row could be learned from. Rows without language or
 text teach nothing. Repeated rows count as often as they occur. Equal counts are
-ranked by a checksum of the n-gram, so results do not depend on partitioning.
+ranked by the n-gram's code points, so results do not depend on partitioning.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, columns, map_batches
+from .common import blocks, columns, map_batches, worker_memory
 
 UNKNOWN = "und"
-LONGEST = 3  # letters of the longest n-gram
+LONGEST = 3  # letters of the longest n-gram; three code points fit into one number
 PROFILE = 400  # n-grams of a profile
 MOST_LANGUAGES = 2000  # profiles are sent to every worker; more languages than this are refused
-WORD = re.compile(r"[^\W\d_]+")
+BLANK = 32
 
 
-def grams(word: str, longest: int) -> list[str]:
-    """All n-grams of a word with a blank at both ends; the lone blank is left out."""
-    padded = f" {word} "
-    return [g for n in range(1, longest + 1) for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) != " "]
+def _letters() -> np.ndarray:
+    return worker_memory("letters", lambda: np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000))
 
 
-def words(text: str | None) -> list[str]:
-    return [w for w in WORD.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))] if text else []
+def grams(text: str | None) -> np.ndarray:
+    """The n-grams of a text's words in lower case, each word with a blank at both ends; the lone blank is left out.
 
+    An n-gram is the number that its code points make, 21 bits each.
+    """
+    if not text:
+        return np.zeros(0, np.int64)
+    codes = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    letter = _letters()[codes]
+    keep = letter.copy()
+    keep[1:] |= letter[:-1]  # the first of several blanks after a word
+    keep[0] = True
+    codes, letter = np.where(letter, codes, BLANK)[keep], letter[keep]
+    if letter.any() and not letter[1]:  # the text's first blank and those before its first word are one
+        codes, letter = codes[1:], letter[1:]
+    two = codes[:-1] << 21 | codes[1:]
+    return np.concatenate([codes[letter], two[letter[:-1] | letter[1:]], (two[:-1] << 21 | codes[2:])[letter[1:-1]]])
+
+
+def gram_text(gram: int) -> str:
+    return "".join(chr(c) for c in (gram >> 42, gram >> 21 & 0x1FFFFF, gram & 0x1FFFFF) if c)
 
-def profiles(docs: DataFrame, longest: int = LONGEST, length: int = PROFILE) -> DataFrame:
+
+def profiles(docs: DataFrame, length: int = PROFILE) -> DataFrame:
     """(lang, gram, place): the ``length`` most frequent n-grams of every language, over all rows of ``docs``.
 
     Counts are added up in the map tasks first, so a language with a third of the rows moves no more than its n-grams.
     """
 
     def count(source: Iterator[tuple]) -> Iterator[list]:
-        held: dict[str, Counter] = defaultdict(Counter)
-
-        def out() -> list[list]:
-            rows = []
-            for lang, counts in held.items():
-                of = Counter()
-                for word, n in counts.items():
-                    for gram in grams(word, longest):
-                        of[gram] += n
-                rows += [(lang, gram, n) for gram, n in of.items()]
-            return columns(rows)
-
-        for lang, text in source:
-            held[lang].update(words(text))
-            if sum(map(len, held.values())) > 200_000:
-                yield out()
-                held.clear()
-        if any(held.values()):
-            yield out()
+        for held in blocks(source, 1):
+            parts = defaultdict(list)
+            for lang, text in held:
+                parts[lang].append(np.unique(grams(text), return_counts=True))
+            for lang, found in parts.items():
+                each, at = np.unique(np.concatenate([g for g, _ in found]), return_inverse=True)
+                yield [[lang] * len(each), each, np.bincount(at, np.concatenate([n for _, n in found]), len(each)).astype(np.int64)]
 
     learned = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    counts = map_batches(learned, count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = map_batches(learned, count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return counts.withColumn("place", F.row_number().over(order) - 1).where(F.col("place") < length).select("lang", "gram", "place")
 
 
-def load(table: DataFrame) -> tuple[list[str], dict[str, int], np.ndarray]:
-    """Languages, n-gram numbers, and ranks by language and number; the last number stands for all n-grams in no profile."""
+def load(table: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Languages, the profiles' n-grams in order, and ranks by language and n-gram; a last column stands for n-grams in no profile."""
     found = table.limit(MOST_LANGUAGES * PROFILE + 1).collect()
     langs = sorted({r.lang for r in found})
     if len(langs) > MOST_LANGUAGES or len(found) > MOST_LANGUAGES * PROFILE:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    numbers = {g: i for i, g in enumerate(sorted({r.gram for r in found}))}
-    ranks = np.full((len(langs), len(numbers) + 1), -1, np.int32)
+    known = np.array(sorted({r.gram for r in found}), np.int64)
+    ranks = np.full((len(langs), len(known) + 1), -1, np.int32)
     at = {lang: i for i, lang in enumerate(langs)}
     for r in found:
-        ranks[at[r.lang], numbers[r.gram]] = r.place
-    return langs, numbers, ranks
-
-
-class Ranker:
-    """Out-of-place distances of texts to the profiles. Memo tables start anew once they hold ``most`` entries."""
-
-    def __init__(self, langs: list[str], numbers: dict[str, int], ranks: np.ndarray, longest: int, length: int, most: int = 200_000):
-        self.langs, self.known, self.ranks = langs, numbers, ranks
-        self.longest, self.length, self.most = longest, length, most
-        self.forget()
-
-    def forget(self) -> None:
-        self.numbers = dict(self.known)
-        self.ties = [crc32(g.encode("utf-8", "replace")) for g in self.known]
-        self.tie_array = np.array(self.ties, np.int64)
-        self.of_word: dict[str, np.ndarray] = {}
-
-    def number(self, gram: str) -> int:
-        found = self.numbers.get(gram)
-        if found is None:
-            found = self.numbers[gram] = len(self.numbers)
-            self.ties.append(crc32(gram.encode("utf-8", "replace")))
-        return found
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        counts = Counter(words(text))
-        if not counts or not self.langs:
-            return UNKNOWN, 0.0
-        if len(self.of_word) > self.most or len(self.numbers) > self.most:
-            self.forget()
-        parts = []
-        for word in counts:
-            part = self.of_word.get(word)
-            if part is None:
-                part = self.of_word[word] = np.array([self.number(g) for g in grams(word, self.longest)], np.int64)
-            parts.append(part)
-        if len(self.tie_array) < len(self.ties):
-            self.tie_array = np.array(self.ties, np.int64)
-        times = np.repeat(np.fromiter(counts.values(), np.int64, len(counts)), [len(p) for p in parts])
-        seen = np.bincount(np.concatenate(parts), times, len(self.ties))
-        present = np.flatnonzero(seen)
-        if len(present) > self.length:  # none below the count of the last place can be in the list
-            least = np.partition(seen[present], -self.length)[-self.length]
-            present = present[seen[present] >= least]
-        listed = present[np.lexsort((self.tie_array[present], -seen[present]))][: self.length]
-        ranks = self.ranks[:, np.minimum(listed, len(self.known))]
-        apart = np.where(ranks < 0, self.length, np.abs(ranks - np.arange(len(listed)))).sum(axis=1)
-        best = int(apart.argmin())
-        return self.langs[best], float(1 - apart[best] / (self.length * len(listed)))
-
-
-def identify(docs: DataFrame, table: DataFrame, longest: int = LONGEST, length: int = PROFILE) -> DataFrame:
+        ranks[at[r.lang], np.searchsorted(known, r.gram)] = r.place
+    return langs, known, ranks
+
+
+def rank(text: str | None, langs: list[str], known: np.ndarray, ranks: np.ndarray, length: int) -> tuple[str, float]:
+    """The language with the least out-of-place distance, and 1 less that distance's share of the largest possible one."""
+    found, counts = np.unique(grams(text), return_counts=True)
+    if not len(found) or not langs:
+        return UNKNOWN, 0.0
+    if len(found) > length:  # none below the count of the last place can be in the list
+        few = counts >= np.partition(counts, -length)[-length]
+        found, counts = found[few], counts[few]
+    listed = found[np.argsort(-counts, kind="stable")][:length]
+    at = np.searchsorted(known, listed)
+    at[at < len(known)] = np.where(known[at[at < len(known)]] == listed[at < len(known)], at[at < len(known)], len(known))
+    place = ranks[:, at]
+    apart = np.where(place < 0, length, np.abs(place - np.arange(len(listed)))).sum(axis=1)
+    best = int(apart.argmin())
+    return langs[best], float(1 - apart[best] / (length * len(listed)))
+
+
+def identify(docs: DataFrame, table: DataFrame, length: int = PROFILE) -> DataFrame:
     """``doc_id, lang_pred, score`` for every row of ``docs`` (``doc_id``, ``text``); score is 1 for a profile's own list."""
     model = docs.sparkSession.sparkContext.broadcast(load(table))
 
     def predict(source: Iterator[tuple]) -> Iterator[list]:
-        ranker = Ranker(*model.value, longest, length)
         for held in blocks(source, 1):
-            found = [ranker.predict(text) for _, text in held]
-            yield [[r[0] for r in held], *columns(found)]
+            yield [[r[0] for r in held], *columns([rank(text, *model.value, length) for _, text in held])]
 
     return map_batches(docs.select("doc_id", "text"), predict, "doc_id long, lang_pred string, score double")
