@@ -15,8 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> str:
+    """A column name as Spark reads it whole, dots included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def as_column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+    return F.col(quoted(value)) if isinstance(value, str) else value
 
 
 def literal(value: Any) -> Column:

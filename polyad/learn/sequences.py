@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from polyad.functions.values import clip_lower, fill_with, safe_ln1p, to_number
@@ -118,20 +118,25 @@ def latest_window_per_unit(
     time: str,
     columns: Sequence[str],
     min_rows: int = 20,
-    encoder: int = 20,
+    encoder: tuple[int, int] = (10, 20),
     decoder: int = 5,
     units: Sequence | None = None,
+    step: int = STEP,
 ) -> DataFrame:
-    """The last encoder and decoder steps of every unit with enough rows."""
+    """The last encoder and decoder steps of every unit with enough steps, gaps filled.
+
+    A unit needs ``min_rows`` steps from its first to its last time, and the
+    shortest encoder before the decoder.
+    """
     if units is not None:
         df = df.where(F.col(unit).isin(list(units)))
-    reach = (
-        df.groupBy(unit).agg(F.max(time).alias("__last"), F.count("*").alias("__rows")).where(F.col("__rows") >= min_rows)
-    )
-    reach = stage(reach.select(unit, "__last"), "reach")
-    recent = key_join(df.select(unit, time, *columns), reach, [unit], "inner", null_safe=False)
+    least = max(min_rows, encoder[0] + decoder)
+    reach = df.groupBy(unit).agg(F.max(time).alias("__last"), F.min(time).alias("__first"))
+    reach = stage(reach.where(F.col("__last") - F.col("__first") + 1 >= least).select(unit, "__last"), "reach")
+    filled = fill_steps(df, unit, time, columns, step)
+    recent = key_join(filled, reach, [unit], "inner", null_safe=False)
     first_decoded = F.col("__last") - (decoder - 1)
-    return recent.where(F.col(time) >= first_decoded - encoder).select(
+    return recent.where(F.col(time) >= first_decoded - encoder[1]).select(
         unit,
         time,
         *columns,
@@ -140,19 +145,64 @@ def latest_window_per_unit(
     )
 
 
-def group_normalizer(df: DataFrame, group: str, target: str, floor: float = 1e-8) -> DataFrame:
-    """Per-group centre and scale of the target's inverse softplus, written to every row.
+def _inverse_softplus(target: str, floor: float) -> Column:
+    """ln(exp(y) - 1), computed as y + ln(1 - exp(-y)), which does not overflow."""
+    y = F.greatest(F.col(target), F.lit(floor))
+    return F.when(F.col(target).isNotNull(), y + F.ln(-F.expm1(-y)))
+
+
+def fit_normalizer(df: DataFrame, group: str, target: str, floor: float = 1e-8) -> DataFrame:
+    """Per group, centre and scale of the target's inverse softplus."""
+    value = _inverse_softplus(target, floor)
+    stats = df.groupBy(group).agg(F.avg(value).alias("target_center"), F.stddev_samp(value).alias("target_scale"))
+    return stage(stats, "scales")
+
+
+def group_normalizer(
+    df: DataFrame, group: str, target: str, floor: float = 1e-8, fitted: DataFrame | None = None
+) -> DataFrame:
+    """The target's inverse softplus, centred and scaled per group.
 
-    ln(exp(y) - 1) is computed as y + ln(1 - exp(-y)), which does not overflow.
+    Centres and scales come from ``fitted`` (see :func:`fit_normalizer`), or from ``df`` itself.
     """
-    y = F.greatest(F.col(target), F.lit(floor))
-    transformed = F.when(F.col(target).isNotNull(), y + F.ln(-F.expm1(-y)))
-    df = df.withColumn("target_softplus_inv", transformed)
-    stats = df.groupBy(group).agg(
-        F.avg("target_softplus_inv").alias("target_center"), F.stddev_samp("target_softplus_inv").alias("target_scale")
-    )
-    scaled = key_join(df, stage(stats, "scales"), [group])
+    stats = fit_normalizer(df, group, target, floor) if fitted is None else fitted
+    scaled = key_join(df.withColumn("target_softplus_inv", _inverse_softplus(target, floor)), stats, [group])
     return scaled.withColumn(
         "target_normalized",
         F.try_divide(F.col("target_softplus_inv") - F.col("target_center"), F.col("target_scale")),
     )
+
+
+def training_chain(
+    df: DataFrame,
+    unit: str,
+    time: str,
+    columns: Sequence[str],
+    target: str,
+    horizon: int = 5,
+    encoder: tuple[int, int] = (10, 20),
+    decoder: tuple[int, int] = (1, 5),
+    min_rows: int = 20,
+    step: int = STEP,
+) -> DataFrame:
+    """Training and validation samples as rows, one per step, without a look ahead.
+
+    Training windows are cut from rows up to the last time minus ``horizon`` only,
+    and the normaliser is fitted on those rows. The validation set is the last
+    window of every unit. Gaps are filled first, within either part.
+    """
+    train = time_split(df, time, horizon).where(F.col("split") == "train")
+    filled = stage(fill_steps(train, unit, time, columns, step), "steps")
+    windows = sequence_windows(filled, unit, time, columns, encoder, decoder, step)
+    fitted = fit_normalizer(filled, unit, target)
+    shown = [unit, "part", "cut", "role", time, *columns, "relative_time_idx"]
+    learned = sequence_steps(windows, unit, time, encoder[1]).withColumn("part", F.lit("train"))
+    last = latest_window_per_unit(df, unit, time, columns, min_rows, encoder, decoder[1], step=step)
+    checked = last.select(
+        "*",
+        F.lit("validation").alias("part"),
+        (F.col(time) - F.col("relative_step")).alias("cut"),
+        (F.col("relative_step") / encoder[1]).alias("relative_time_idx"),
+    )
+    rows = learned.select(*shown).unionByName(checked.select(*shown))
+    return group_normalizer(rows, unit, target, fitted=fitted)

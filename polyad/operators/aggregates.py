@@ -17,7 +17,6 @@ from polyad.session import stage
 
 SKETCH_ACCURACY = 10_000
 BRACKET = 10 / SKETCH_ACCURACY
-SMALL_GROUP = 10_000
 CELLS = 1024
 
 
@@ -29,9 +28,9 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     it. Those are counted per cell of equal width, and only the cells that hold a
     wanted rank are sorted. So a group that holds most rows is never gathered:
     its last step sorts a thin slice of a thin slice. The bracket is ten times
-    the sketch's error bound; should a rank ever fall outside, the query fails
-    rather than return an approximation. Groups of at most ``SMALL_GROUP`` rows
-    use their whole range as the bracket.
+    the sketch's error bound and holds two ranks on either side, so in a group of
+    few rows it is the whole range. Should a rank ever fall outside, the groups
+    concerned are done again with their whole range.
     """
     by = list(by)
     key = [*by, "prob"]
@@ -43,7 +42,7 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
         F.min("v").alias("least"),
         F.max("v").alias("most"),
     )
-    small = F.col("n") <= SMALL_GROUP
+    small = F.col("n") * BRACKET <= 2
     brackets = [
         F.struct(
             F.lit(p).alias("prob"),
@@ -54,8 +53,26 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
         for i, p in enumerate(probs)
     ]
     # Written once: read by several joins, whose plans then know how small it is.
-    sketch = stage(sketch.select(*by, F.array(*brackets).alias("brackets")), "sketch")
+    sketch = stage(sketch.select(*by, F.array(*brackets).alias("brackets"), "least", "most"), "sketch")
+
+    found = _pick_quantiles(data, sketch, by)
+    found = stage(found, "quantiles")  # a row for each group and probability
+    missed = found.where(F.col("lower").isNull() | F.col("upper").isNull())
+    if not missed.isEmpty():
+        again = missed.select(*by).distinct()
+        whole = F.transform("brackets", lambda b: F.struct(b["prob"].alias("prob"), F.col("least").alias("lo"), F.col("most").alias("hi"), b["rank"].alias("rank")))
+        wide = (key_join(sketch, again, by, "inner") if by else sketch).select(*by, whole.alias("brackets"), "least", "most")
+        redone = _pick_quantiles(key_join(data, again, by, "inner") if by else data, wide, by)
+        kept = key_join(found, again, by, "left_anti") if by else found.limit(0)
+        found = kept.unionByName(redone)
+    exact = F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("w")
+    return found.select(*key, exact.alias("quantile"))
+
 
+def _pick_quantiles(data: DataFrame, sketch: DataFrame, by: list[str]) -> DataFrame:
+    """(by..., prob, w, lower, upper): the values at the two ranks around each quantile, if the brackets hold them."""
+    key = [*by, "prob"]
+    sketch = sketch.select(*by, "brackets")
     joined = key_join(data, sketch, by) if by else data.withColumn("brackets", sketch.scalar())
     counts = (
         joined.select(*by, "v", F.inline("brackets"))
@@ -90,17 +107,9 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     def value_at(position: str) -> Column:
         return F.max(F.when(holds(F.col(position), "c"), F.col("inside")))
 
-    picked = ranked.groupBy(*key).agg(
+    return ranked.groupBy(*key).agg(
         F.max(F.col("rank") - F.col("below")).alias("w"), value_at("below").alias("lower"), value_at("above").alias("upper")
     )
-    exact = F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("w")
-    missed = F.col("lower").isNull() | F.col("upper").isNull()
-    return picked.select(
-        *key,
-        F.when(missed, F.raise_error(F.lit("quantile rank outside its bracket")).cast("double"))
-        .otherwise(exact)
-        .alias("quantile"),
-    )
 
 
 def medians(df: DataFrame, by: Sequence[str], value: str, into: str) -> DataFrame:

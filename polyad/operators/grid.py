@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -11,6 +12,9 @@ from polyad.functions.values import paste_id
 from polyad.operators.joins import key_join
 
 
+PAIRS_IN_A_CELL = 4_000_000
+
+
 def unit_grid(units: DataFrame, unit: str, time: str, start: int, end: int) -> DataFrame:
     """Every distinct unit at every time from ``start`` to ``end``."""
     times = F.sequence(F.lit(start), F.lit(end))
@@ -56,18 +60,28 @@ def all_pairs(
     unit: str = "unit",
     time: str = "year",
     attributes: Sequence[str] = (),
-    left_parts: int = 8,
-    right_parts: int = 8,
+    candidates: DataFrame | None = None,
+    cell: int = PAIRS_IN_A_CELL,
 ) -> DataFrame:
     """Every (unit, time) facing every other distinct unit: the directed pair table.
 
-    The output is quadratic in the number of units by definition. Rows meet in
-    ``left_parts * right_parts`` equal cells joined by equality, so that the
-    work is spread evenly and neither side has to fit on one machine.
+    Without ``candidates`` the output is quadratic in the number of units by
+    definition. Rows then meet in equal cells joined by equality; there are as
+    many as the numbers of rows ask for, each of about ``cell`` pairs, so that the
+    work is spread evenly and neither side has to fit on one machine. With
+    ``candidates``, a table of (unit_a, unit_b), only those pairs are built.
     The partner's own time is not looked at, so a partner may be absent then.
     """
     left = unit_times.select(unit, time, *attributes).distinct()
     right = unit_times.select(unit, *attributes).distinct()
+    if candidates is not None:
+        senders = left.select(F.col(unit).alias(f"{unit}_a"), F.col(time), *[F.col(c).alias(f"{c}_a") for c in attributes])
+        receivers = right.select(F.col(unit).alias(f"{unit}_b"), *[F.col(c).alias(f"{c}_b") for c in attributes])
+        wanted = candidates.select(f"{unit}_a", f"{unit}_b").distinct()
+        pairs = key_join(key_join(senders, wanted, [f"{unit}_a"], "inner", null_safe=False), receivers, [f"{unit}_b"], "inner", null_safe=False)
+        return _with_pair_ids(pairs, unit, time)
+    sizes = unit_times.agg(F.approx_count_distinct(F.struct(unit, time)).alias("rows"), F.approx_count_distinct(unit).alias("units")).first()
+    left_parts = right_parts = max(2, math.ceil(math.sqrt(sizes["rows"] * sizes["units"] / cell)))
 
     def part(parts: int, column: str):
         return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
@@ -85,7 +99,10 @@ def all_pairs(
         part(right_parts, unit).alias("col_part"),
         F.explode(F.sequence(F.lit(0), F.lit(left_parts - 1))).alias("row_part"),
     )
-    pairs = senders.join(receivers, ["row_part", "col_part"]).drop("row_part", "col_part")
+    return _with_pair_ids(senders.join(receivers, ["row_part", "col_part"]).drop("row_part", "col_part"), unit, time)
+
+
+def _with_pair_ids(pairs: DataFrame, unit: str, time: str) -> DataFrame:
     a, b = f"{unit}_a", f"{unit}_b"
     return pairs.where(F.col(a) != F.col(b)).withColumns(
         {"dyad_id": paste_id(a, b), "dyad_year_id": paste_id(a, b, time)}

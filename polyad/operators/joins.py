@@ -15,12 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from polyad.functions.values import as_column
 from polyad.operators.schema import suffix_columns
 
 Keys = Sequence[str] | Mapping[str, str]
 
 _RIGHT_KEY = "__right_key_{}"
 _SALT = "__salt"
+NULL_SLOTS = 16
 
 
 def key_pairs(on: Keys) -> list[tuple[str, str]]:
@@ -42,7 +44,8 @@ def key_join(
     ``null_safe`` a NULL key matches a NULL key. Non-key names found on both
     sides raise, unless ``collisions="keep_left"`` drops the right ones.
     ``salt=n`` (inner and left joins) deals each left row to one of n slots by a
-    hash of its values and copies the right side to all n.
+    hash of its values and copies the right side to all n. Left rows with a NULL
+    key are always dealt to slots like that; only right rows with one are copied.
     """
     pairs = key_pairs(on)
     right_keys = [r for _, r in pairs]
@@ -68,6 +71,10 @@ def key_join(
         right = right.withColumn("__right" + _SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         conditions.append(F.col(_SALT) == F.col("__right" + _SALT))
 
+    elif how in ("left", "inner"):
+        left, right, same_slot = _spread_nulls(left, right, [l for l, _ in pairs], len(pairs), null_safe)
+        conditions += same_slot
+
     joined = left.join(right, reduce(lambda a, b: a & b, conditions), how)
     keys = {name: F.col(name) for name, _ in pairs}
     if how in ("right", "full", "outer"):
@@ -75,6 +82,26 @@ def key_join(
     return joined.select(*[keys.get(c, F.col(c)) for c in left_columns], *[F.col(c) for c in payload])
 
 
+def _spread_nulls(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], count: int, null_safe: bool
+) -> tuple[DataFrame, DataFrame, list[Column]]:
+    """Deal left rows with a NULL key to slots, so that they do not meet in one task."""
+    nullable = {f.name for f in left.schema.fields if f.nullable}
+    loose = [F.col(k).isNull() for k in keys if k in nullable]
+    if not loose:
+        return left, right, []
+    hashed = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
+    slot = F.pmod(F.xxhash64(*[as_column(c) for c in hashed]), F.lit(NULL_SLOTS)).cast("int")
+    left = left.withColumn(_SALT, F.when(reduce(lambda a, b: a | b, loose), slot).otherwise(0))
+    one, all_slots = F.array(F.lit(0)), F.sequence(F.lit(0), F.lit(NULL_SLOTS - 1))
+    if null_safe:
+        none = reduce(lambda a, b: a | b, [F.col(_RIGHT_KEY.format(i)).isNull() for i in range(count)])
+        right = right.withColumn("__right" + _SALT, F.explode(F.when(none, all_slots).otherwise(one)))
+    else:
+        right = right.withColumn("__right" + _SALT, F.lit(0))
+    return left, right, [F.col(_SALT) == F.col("__right" + _SALT)]
+
+
 def events_join(left: DataFrame, events: DataFrame, on: Keys) -> DataFrame:
     """Left join of unique rows to many events each; NULL keys match.
 
@@ -141,21 +168,16 @@ def interval_member(
     start: str = "start_year",
     end: str = "end_year",
     into: str = "member",
-    horizon: tuple[int, int] | None = None,
 ) -> DataFrame:
     """0/1 flag: is the unit inside one of its roster intervals at that time?
 
-    The roster is unrolled to distinct unit-times inside ``horizon`` (by default
-    the panel's own time range, at the price of a second scan), so that open
-    ends stay short and several intervals of one unit cannot multiply panel rows.
+    The roster is unrolled to distinct unit-times inside the panel's own time
+    range, at the price of a second scan of one column, so that open ends stay
+    short and several intervals of one unit cannot multiply panel rows.
     """
-    if horizon is None:
-        reach = panel.agg(F.struct(F.min(time).alias("lo"), F.max(time).alias("hi"))).scalar()
-        low, high = reach["lo"], reach["hi"]
-    else:
-        low, high = F.lit(horizon[0]), F.lit(horizon[1])
-    first = F.greatest(F.col(start), low)
-    last = F.least(F.col(end), high)
+    reach = panel.agg(F.struct(F.min(time).alias("lo"), F.max(time).alias("hi"))).scalar()
+    first = F.greatest(F.col(start), reach["lo"])
+    last = F.least(F.col(end), reach["hi"])
     unrolled = (
         roster.select(F.col(unit), first.alias("first"), last.alias("last"))
         .where(F.col("first") <= F.col("last"))

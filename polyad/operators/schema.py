@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from polyad.functions.values import to_number
+from polyad.functions.values import as_column, to_number
 
 Selector = Callable[[Sequence[str]], list[str]]
 
@@ -165,16 +165,19 @@ def column_or(df: DataFrame, name: str, fallback: Column | None = None) -> Colum
 def as_category(df: DataFrame, columns: Iterable[str], fill_missing: str | None = None) -> DataFrame:
     """Turn columns into text categories and tag them in the schema metadata.
 
-    Text columns keep their labels. Numeric columns are truncated to integers
-    first when ``fill_missing`` is given, and missing values get that label.
+    Without ``fill_missing``, values become their text. With it, columns that are
+    tagged already keep their labels; all others, text too, are parsed as numbers
+    and truncated to integers, and what is missing or no number gets that label.
     """
-    types = {f.name: f.dataType for f in df.schema.fields}
+    tagged = set(category_columns(df))
     new: dict[str, Column] = {}
     for name in columns:
-        if name not in types:
+        if name not in df.columns:
             continue
-        if fill_missing is None or isinstance(types[name], T.StringType):
-            label = F.col(name).cast("string")
+        if fill_missing is None:
+            label = as_column(name).cast("string")
+        elif name in tagged:
+            label = F.coalesce(as_column(name), F.lit(fill_missing))
         else:
             label = F.coalesce(to_number(name).cast("bigint").cast("string"), F.lit(fill_missing))
         new[name] = label.alias(name, metadata={"kind": "category"})

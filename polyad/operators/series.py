@@ -3,7 +3,8 @@
 Rows are cut into blocks of ``step`` time values. Windows run inside
 (unit, block), so no task ever holds a whole long unit. What a block needs from
 its neighbours is put into it as one extra row at either edge before the only
-large shuffle, and removed afterwards. Times must be unique within a unit.
+large shuffle, and removed afterwards. Times must be unique within a unit, which
+is checked; :func:`mean_of_ties` makes them so.
 """
 
 from __future__ import annotations
@@ -19,6 +20,11 @@ STEP = 4096
 _BEFORE, _ROW, _AFTER = 0, 1, 2
 
 
+def mean_of_ties(df: DataFrame, unit: str, time: str, columns: Sequence[str]) -> DataFrame:
+    """One row per unit and time: the mean of the values observed then."""
+    return df.groupBy(unit, time).agg(*[F.avg(c).alias(c) for c in columns])
+
+
 def _edges(rows: DataFrame, unit: str, time: str, columns: Sequence[str], ahead: bool) -> DataFrame:
     """One extra row per block edge: the nearest observation on the other side of it."""
     seen = {c: F.when(F.col(c).isNotNull(), F.col(time)) for c in columns}
@@ -63,7 +69,11 @@ def _with_neighbours(df: DataFrame, unit: str, time: str, columns: Sequence[str]
     near = {f"__prev_{c}": F.last(f"__obs_{c}", ignorenulls=True).over(forward) for c in columns}
     if ahead:
         near |= {f"__next_{c}": F.last(f"__obs_{c}", ignorenulls=True).over(backward) for c in columns}
-    return padded.withColumns(near).where(F.col("__place") == _ROW).drop("__block", "__place", *observed)
+    row = F.col("__place") == _ROW
+    near["__tie"] = F.lag(F.when(row, F.col(time))).over(forward) == F.col(time)
+    message = F.concat(F.lit(f"{time} repeats within a {unit}: "), F.col(time).cast("string"))
+    kept = F.when(row & F.col("__tie"), F.raise_error(message).cast("boolean")).otherwise(row)
+    return padded.withColumns(near).where(kept).drop("__block", "__place", "__tie", *observed)
 
 
 def _strip(df: DataFrame, columns: Sequence[str]) -> DataFrame:

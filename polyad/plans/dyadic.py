@@ -98,20 +98,24 @@ def dyad_distance(
 ) -> DataFrame:
     """Capital distance in km on January 1 of each year.
 
-    ``capitals`` has (unit, valid_from, valid_to, lat, lon); each side looks up
-    the capital valid on the date, so only the pairs asked for are measured.
+    ``capitals`` has (unit, valid_from, valid_to, lat, lon). The place of each
+    unit and date is settled first: of several capitals valid on a date, the one
+    that became valid last. Pairs then look it up by unit and date, so no unit's
+    rows meet in one task, and only the pairs asked for are measured.
     """
     dated = dyads.where(F.col("year") < before).withColumn("date", year_start("year"))
+    ends = dated.select(F.col(f"{unit}_a").alias("__unit"), "date").unionByName(
+        dated.select(F.col(f"{unit}_b").alias("__unit"), "date")
+    )
+    valid = (F.col("__unit") == F.col(unit)) & F.col("date").between(F.col("valid_from"), F.col("valid_to"))
+    latest = F.max(F.struct("valid_from", "valid_to", "lat", "lon")).alias("place")
+    places = ends.distinct().join(capitals, valid).groupBy("__unit", "date").agg(latest)
+    places = stage(places.select("__unit", "date", "place.lat", "place.lon"), "places")
     for side in ("a", "b"):
-        place = capitals.select(
-            F.col(unit).alias(f"__unit_{side}"),
-            F.col("valid_from").alias(f"__from_{side}"),
-            F.col("valid_to").alias(f"__to_{side}"),
-            F.col("lat").alias(f"__lat_{side}"),
-            F.col("lon").alias(f"__lon_{side}"),
+        place = places.select(
+            "date", F.col("__unit").alias(f"{unit}_{side}"), F.col("lat").alias(f"__lat_{side}"), F.col("lon").alias(f"__lon_{side}")
         )
-        valid = F.col("date").between(F.col(f"__from_{side}"), F.col(f"__to_{side}"))
-        dated = dated.join(place, (F.col(f"{unit}_{side}") == F.col(f"__unit_{side}")) & valid, "left")
+        dated = key_join(dated, place, [f"{unit}_{side}", "date"], null_safe=False)
     km = haversine_km(F.col("__lat_a"), F.col("__lon_a"), F.col("__lat_b"), F.col("__lon_b"))
     return dated.select(*dyads.columns, "date", km.alias("dist_km"))
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,8 +52,38 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     Use it between the steps of a long build whose result is read several times
     (both sides of a pair, a statistic and the rows it is written back to). The
     files outlive any executor, and later steps start from a scan whose size is
-    known.
+    known. They go when the application ends, or at the end of :func:`stages`.
     """
-    path = f"{checkpoint_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the application ends."""
+    path = f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    for held in _OPEN:
+        held.append(place)
+    return path
+
+
+_OPEN: list[list] = []
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Stage tables written inside are deleted at the end.
+
+    For long sessions: build and write a result inside, since a table that was
+    built from stage tables cannot be read once they are gone.
+    """
+    held: list = []
+    _OPEN.append(held)
+    try:
+        yield
+    finally:
+        _OPEN.remove(held)
+        for place in held:
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -7,20 +7,24 @@ import uuid
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from polyad.functions.values import nan_to_null, to_number
+from polyad.functions.values import as_column, nan_to_null, to_number
 from polyad.operators.schema import category_columns, clean_name_map, inline_table, level_counts, name_map_table
+from polyad.session import stage
 
 MISSING_TEXT = "NA"
 
 
-def _nan_free(df: DataFrame) -> DataFrame:
-    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType | T.FloatType)]
-    return df.withColumns({c: nan_to_null(c) for c in doubles}) if doubles else df
+def _nan_free(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    doubles = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType | T.FloatType)} - set(keep)
+    if not doubles:
+        return df
+    return df.select(*[(nan_to_null(c) if c in doubles else as_column(c)).alias(c) for c in df.columns])
 
 
 # -- readers ------------------------------------------------------------------
@@ -37,16 +41,16 @@ def read_tab_separated(spark: SparkSession, path: str | Sequence[str], schema: T
 
 
 def read_landed(
-    spark: SparkSession, path: str, schema: T.StructType | str | None = None, nan_columns: Sequence[str] = ()
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, keep_nan: Sequence[str] = ()
 ) -> DataFrame:
-    """A table landed as Parquet.
+    """A table landed as Parquet; NaN becomes NULL.
 
-    Name the columns that may hold NaN, and it becomes NULL there; filters on the
-    other columns still reach the scan. A given schema saves the footer read.
+    Filters on number columns do not reach the scan through that rule. Name the
+    columns that hold no NaN, or shall keep it, in ``keep_nan`` and they do. A
+    given schema saves the footer read.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
-    df = reader.parquet(path)
-    return df.withColumns({c: nan_to_null(c) for c in nan_columns})
+    return _nan_free(reader.parquet(path), keep_nan)
 
 
 def read_from_tree(spark: SparkSession, root: str, file_name: str, schema: T.StructType | str, sep: str = ",") -> DataFrame:
@@ -60,23 +64,21 @@ def read_batches(
     """Union of separately landed batches, and a status row per batch.
 
     Columns are matched by name, absent ones are NULL, values are parsed to the
-    wanted types. A batch that cannot be opened is left out and reported; files
-    that break while being read are skipped.
+    wanted types. Each batch is read whole into a stage table before it counts as
+    loaded, so a batch of which any file breaks is absent as a whole and reported.
     """
     parts, status = [], []
     for name, path in batches.items():
         try:
-            reader = spark.read.option("ignoreCorruptFiles", True)
-            if fmt == "csv":
-                reader = reader.options(header=True, nullValue=MISSING_TEXT)
-            raw = reader.format(fmt).load(path)
-            if not set(raw.columns) & set(wanted):
+            reader = spark.read.options(header=True, nullValue=MISSING_TEXT) if fmt == "csv" else spark.read
+            raw = reader.option("ignoreCorruptFiles", False).option("ignoreMissingFiles", False).format(fmt).load(path)
+            present = [c for c in wanted if c in raw.columns]
+            if not present:
                 raise ValueError("no wanted column found")
-        except (AnalysisException, PySparkException, ValueError) as error:
-            status.append((name, False, str(error).splitlines()[0]))
+            parts.append(stage(raw.select(F.lit(name).alias("batch"), *[_typed(c, wanted[c]) for c in present]), "batch"))
+        except (PySparkException, Py4JJavaError, ValueError) as error:
+            status.append((name, False, type(error).__name__ + ": " + str(error).splitlines()[0]))
             continue
-        present = [c for c in wanted if c in raw.columns]
-        parts.append(raw.select(F.lit(name).alias("batch"), *[_typed(raw, c, wanted[c]) for c in present]))
         status.append((name, True, None))
     report = inline_table(spark, "batch string, loaded boolean, problem string", status)
     if not parts:
@@ -85,9 +87,9 @@ def read_batches(
     return union_by_name(parts, wanted), report
 
 
-def _typed(df: DataFrame, name: str, dtype: str):
+def _typed(name: str, dtype: str):
     numeric = dtype in ("double", "float", "int", "bigint")
-    return (to_number(name, dtype) if numeric else F.col(name).try_cast(dtype)).alias(name)
+    return (to_number(name, dtype) if numeric else as_column(name).try_cast(dtype)).alias(name)
 
 
 def union_by_name(parts: Sequence[DataFrame], wanted: Mapping[str, str] | None = None) -> DataFrame:
@@ -126,7 +128,9 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet", **options) ->
     """Overwrite a table that ``df`` itself may read from.
 
     The result is written beside the target first and swapped in afterwards, so
-    the old files are there while they are read.
+    the old files are there while they are read. The swap is two renames: a
+    reader that opens the table between them finds none, and on an object store
+    each rename copies. Use it with one writer and no readers at that moment.
     """
     spark = df.sparkSession
     jvm = spark._jvm

@@ -19,8 +19,10 @@ def test_quantiles_interpolate(make):
     assert values(exact_quantiles(df, [], "x", [0.5])) == [(0.5, 3.0)]
 
 
-def test_quantiles_of_large_skewed_groups(make, monkeypatch):
-    monkeypatch.setattr(aggregates, "SMALL_GROUP", 500)
+@pytest.mark.parametrize("accuracy", [10_000, 20])
+def test_quantiles_of_large_skewed_groups(make, monkeypatch, accuracy):
+    """A coarse sketch misses ranks, and those groups are done again."""
+    monkeypatch.setattr(aggregates, "SKETCH_ACCURACY", accuracy)
     rng = random.Random(5)
     hot = [(1, round(rng.expovariate(0.3), 3)) for _ in range(30_000)] + [(1, 0.0)] * 9_000
     other = [(2, float(i)) for i in range(1_501)]

@@ -121,7 +121,7 @@ def test_all_pairs(make):
     panel = make("unit int, year int", [(1, 2000), (2, 2000), (3, 2001), (1, 2000)])
     found = values(grid.all_pairs(panel), "unit_a", "year", "unit_b", "dyad_year_id")
     assert found == [(a, y, b, f"{a}_{b}_{y}") for a, y in ((1, 2000), (2, 2000), (3, 2001)) for b in (1, 2, 3) if a != b]
-    assert found == values(grid.all_pairs(panel, left_parts=3, right_parts=5), "unit_a", "year", "unit_b", "dyad_year_id")
+    assert found == values(grid.all_pairs(panel, cell=1), "unit_a", "year", "unit_b", "dyad_year_id")
 
 
 def test_ranking(make):
@@ -129,3 +129,22 @@ def test_ranking(make):
     assert values(ranking.latest_per_group(df, ["g"], "s", ["k"])) == [(1, 9, 2), (2, None, 4)]
     assert values(ranking.first_per_group(df, ["g"], ["k"])) == [(1, 5, 1), (2, None, 4)]
     assert [tuple(r) for r in ranking.top_distinct(df, ["s", "g"], "s", 2).collect()] == [(9, 1), (5, 1)]
+
+
+def test_hot_null_key_is_dealt_to_slots(spark):
+    """A third of the rows has a NULL key; it meets its match in every slot and nothing is doubled."""
+    rows = spark.range(3000).select("id", F.when(F.col("id") % 3 != 0, F.col("id") % 7).alias("k"))
+    lookup = spark.createDataFrame([(None, "none"), (1, "one"), (2, "two")], "k long, name string")
+    joined = joins.key_join(rows, lookup, ["k"])
+    assert joined.count() == 3000 and joined.where("name = 'none'").count() == 1000
+    assert joins.key_join(rows, lookup, ["k"], "inner").count() == joined.where("name IS NOT NULL").count()
+    assert joins.key_join(rows, lookup, ["k"], null_safe=False).where("name = 'none'").count() == 0
+    assert "__salt" not in joined.columns
+
+
+def test_candidate_pairs(spark):
+    units = spark.range(6).select(F.col("id").cast("int").alias("unit"), F.lit(2000).alias("year"))
+    wanted = spark.createDataFrame([(1, 2), (2, 1), (3, 3), (4, 9)], "unit_a int, unit_b int")
+    found = grid.all_pairs(units, candidates=wanted)
+    assert found.columns == grid.all_pairs(units).columns or set(found.columns) == set(grid.all_pairs(units).columns)
+    assert sorted((r.unit_a, r.unit_b) for r in found.collect()) == [(1, 2), (2, 1)]

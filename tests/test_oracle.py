@@ -10,9 +10,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 DATA = Path("/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="driver tables are not here")
 
@@ -55,4 +56,5 @@ def test_only_sampling_lacks_an_oracle():
 
 
 def test_entry(spark):
+    assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
     assert entry.entry(spark).limit(1).count() == 1

@@ -143,3 +143,15 @@ def test_buckets_and_conditions(make):
     ]
     assert values(checks.conditional_correlation(df)) == [(pytest.approx(1.0),)]
     assert values(checks.missing_share(df, "rev_potential_a")) == [(20.0,)]
+
+
+def test_latest_valid_capital_counts(spark):
+    from polyad.plans import dyadic
+
+    pairs = spark.createDataFrame([(1, 2, 2000)], "COWcode_a int, COWcode_b int, year int")
+    capitals = spark.createDataFrame(
+        [(1, "1900-01-01", "2100-01-01", 0.0, 0.0), (1, "1990-01-01", "2100-01-01", 10.0, 0.0), (2, "1900-01-01", "2100-01-01", 10.0, 0.0)],
+        "COWcode int, valid_from string, valid_to string, lat double, lon double",
+    ).withColumns({c: F.col(c).cast("date") for c in ("valid_from", "valid_to")})
+    (row,) = dyadic.dyad_distance(pairs, capitals).collect()
+    assert row.dist_km == 0.0

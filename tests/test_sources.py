@@ -98,7 +98,7 @@ def test_name_map(spark, make, tmp_path):
 
 def test_nan_columns(spark, make, tmp_path):
     make("x double, y double", [(math.nan, 1.0)]).write.parquet(str(tmp_path / "p"))
-    assert values(tables.read_landed(spark, str(tmp_path / "p"), nan_columns=["x"])) == [(None, 1.0)]
+    assert values(tables.read_landed(spark, str(tmp_path / "p"))) == [(None, 1.0)]
 
 
 def test_stage_keeps_rows_and_schema(spark, make):
@@ -106,3 +106,14 @@ def test_stage_keeps_rows_and_schema(spark, make):
     staged = session.stage(df, "test")
     assert (values(staged), staged.schema, schema.category_columns(staged)) == (values(df), df.schema, ["k"])
     assert session.checkpoint_folder(spark) in staged.inputFiles()[0]
+
+
+def test_stage_tables_go_at_the_end_of_their_block(spark):
+    from polyad import session
+
+    with session.stages(spark):
+        path = session.scratch_path(spark, "kept")
+        spark.range(3).write.parquet(path)
+        assert spark.read.parquet(path).count() == 3
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

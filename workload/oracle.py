@@ -159,7 +159,9 @@ VIEWS = {
               FROM panel p
               LEFT JOIN gdp_history h ON h.COWcode = p.COWcode AND h.year = p.year
               LEFT JOIN indicators i ON i.COWcode = p.COWcode AND i.year = p.year
-              LEFT JOIN resources r ON r.COWcode = p.COWcode AND r.year = p.year AND r.year % 2 = 0
+              LEFT JOIN (SELECT COWcode, year, CASE WHEN year % 2 = 0 THEN oil_gas_pop END AS oil_gas_pop,
+                                CASE WHEN year % 2 = 0 AND oil_gas_pop > 100 THEN 1 ELSE 0 END AS is_petro_state_ross
+                         FROM resources) r ON r.COWcode = p.COWcode AND r.year = p.year
               LEFT JOIN gini g ON g.COWcode = p.COWcode AND g.year = p.year
               LEFT JOIN premium f ON f.COWcode = p.COWcode AND f.year = p.year)""",
     "episodes": """
@@ -223,9 +225,10 @@ VIEWS = {
         FROM panel p LEFT JOIN ideology i ON country_code_cow = COWcode AND i.year = p.year""",
     "sparse": """
         SELECT o_custkey AS COWcode, CAST(year(o_orderdate) AS INT) AS year,
-               CAST(sum(o_orderkey % 97) % 100 AS DOUBLE) AS islmgenpct,
-               CASE WHEN count(*) <> 2 THEN CAST(sum(o_orderkey % 97) * 3 % 100 AS DOUBLE) END AS chrstgenpct
-        FROM orders WHERE (year(o_orderdate) - 1995) % 3 = 0 GROUP BY 1, 2""",
+               CASE WHEN (year(o_orderdate) - 1995) % 3 = 0 THEN CAST(sum(o_orderkey % 97) % 100 AS DOUBLE) END AS islmgenpct,
+               CASE WHEN (year(o_orderdate) - 1995) % 3 = 0 AND count(*) <> 2
+                    THEN CAST(sum(o_orderkey % 97) * 3 % 100 AS DOUBLE) END AS chrstgenpct
+        FROM orders GROUP BY year(o_orderdate), o_custkey""",
     "sparse_grid": """
         SELECT g.COWcode, g.year, islmgenpct, chrstgenpct
         FROM (SELECT DISTINCT COWcode, CAST(r AS INT) AS year FROM sparse, range(1993, 2004) t(r)) g
@@ -281,7 +284,8 @@ VIEWS = {
                posttenurefate AS post_tenure_fate, prevtimesinoffice AS previous_times
         FROM held""",
     "capitals": """
-        SELECT n_nationkey AS COWcode, CAST('1900-01-01' AS DATE) AS valid_from, CAST('1997-12-31' AS DATE) AS valid_to,
+        SELECT n_nationkey AS COWcode, CAST('1900-01-01' AS DATE) AS valid_from,
+               CASE WHEN n_nationkey = 3 THEN CAST('1999-12-31' AS DATE) ELSE CAST('1997-12-31' AS DATE) END AS valid_to,
                CAST(n_nationkey * 7 % 140 - 70 AS DOUBLE) AS lat, CAST(n_nationkey * 31 % 340 - 170 AS DOUBLE) AS lon
         FROM nation WHERE n_nationkey <> 5
         UNION ALL
@@ -447,9 +451,9 @@ def linked_keys(how: str) -> str:
         keys = "coalesce(l.COWcode, r.unit) AS COWcode, coalesce(l.year, r.year) AS year"
     return f"""
         SELECT {keys}, n, last_order
-        FROM (SELECT u AS COWcode, y AS year, n FROM measures WHERE u <> 4) l
-        {how} JOIN (SELECT CASE WHEN u <> 6 THEN u END AS unit, y AS year, max(o_orderkey) AS last_order
-                    FROM unit_orders WHERE u <> 2 GROUP BY 1, 2) r
+        FROM (SELECT CASE WHEN u <> 4 THEN u END AS COWcode, y AS year, n FROM measures) l
+        {how} JOIN (SELECT CASE WHEN u = 2 THEN 102 WHEN u <> 6 THEN u END AS unit, y AS year, max(o_orderkey) AS last_order
+                    FROM unit_orders GROUP BY 1, 2) r
         ON l.COWcode IS NOT DISTINCT FROM r.unit AND l.year IS NOT DISTINCT FROM r.year"""
 
 
@@ -457,8 +461,8 @@ def null_keyed(operator: str) -> str:
     return f"""
         SELECT c_custkey, c.unit, n_name
         FROM (SELECT c_custkey, CASE WHEN c_nationkey % 5 <> 0 THEN c_nationkey END AS unit FROM customer) c
-        LEFT JOIN (SELECT CASE WHEN n_nationkey <> 10 THEN n_nationkey END AS unit, n_name FROM nation
-                   WHERE n_nationkey IN (1, 2, 3, 7, 11, 10)) n ON c.unit {operator} n.unit"""
+        LEFT JOIN (SELECT CASE WHEN n_nationkey % 4 = 0 THEN n_nationkey + 100 WHEN n_nationkey <> 10 THEN n_nationkey END AS unit,
+                          n_name FROM nation) n ON c.unit {operator} n.unit"""
 
 
 PCT = "islmgenpct chrstgenpct"
@@ -501,6 +505,27 @@ def quantile_rows(probs: list[float]) -> str:
     )
 
 
+def chained_rounds(rounds: int) -> str:
+    """Least squares of each column on the other two, in turn; the fewest gaps first."""
+    columns = ["rents", "wealth", "income"]
+    parts = [
+        """s0 AS MATERIALIZED (SELECT l_orderkey, l_linenumber, """
+        + ", ".join(f"{c} IS NULL AS gap_{c}, coalesce({c}, avg({c}) OVER ()) AS {c}" for c in columns)
+        + """ FROM (SELECT * REPLACE (CASE WHEN l_linenumber <> 3 THEN income END AS income) FROM imputable))"""
+    ]
+    for k in range(rounds * len(columns)):
+        y = columns[k % 3]
+        a, b = (c for c in columns if c != y)
+        parts.append(f"""c{k} AS MATERIALIZED (SELECT *, (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS p, (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS q
+            FROM (SELECT avg({y}) AS ym, avg({a}) AS am, avg({b}) AS bm, var_pop({a}) AS aa, var_pop({b}) AS bb, covar_pop({a}, {b}) AS ab,
+                         covar_pop({a}, {y}) AS ay, covar_pop({b}, {y}) AS by_ FROM s{k} WHERE NOT gap_{y}))""")
+        parts.append(f"""s{k + 1} AS MATERIALIZED (SELECT s{k}.* REPLACE (CASE WHEN gap_{y} THEN ym + p * ({a} - am) + q * ({b} - bm) ELSE {y} END AS {y})
+            FROM s{k}, c{k})""")
+    return f"""WITH {', '.join(parts)}
+        SELECT l_orderkey, l_linenumber, round(income, 5) AS income, round(wealth, 5) AS wealth,
+               CASE WHEN NOT gap_rents THEN round(rents, 5) END AS rents FROM s{rounds * len(columns)}"""
+
+
 BODIES = {
     "dispute_monadic": "SELECT * FROM dispute_panel",
     "bloc_membership": "SELECT COWcode, year, alba_possible, alba_member FROM bloc",
@@ -510,6 +535,12 @@ BODIES = {
         UNION ALL
         SELECT COWcode, year, alba_member, alba_possible, 'before_start' FROM bloc
         WHERE year < 1998 AND (alba_member = 1 OR alba_possible = 1)""",
+    "wide_membership": """
+        SELECT COWcode, year, CASE WHEN COWcode > 5 AND COWcode < 20 AND year >= 1996 THEN 1 ELSE 0 END AS alba_possible,
+               CASE WHEN EXISTS (SELECT 1 FROM roster WHERE unit = COWcode AND year BETWEEN start_year AND end_year)
+                    THEN 1 ELSE 0 END AS alba_member, n
+        FROM (SELECT CAST(l_suppkey % 20 AS INT) AS COWcode, CAST(l_linenumber * 7 + 1980 AS INT) AS year, count(*) AS n
+              FROM lineitem GROUP BY 1, 2)""",
     "order_membership": """
         SELECT y AS year, CASE WHEN EXISTS (SELECT 1 FROM roster WHERE unit = u AND y BETWEEN start_year AND end_year)
                                THEN 1 ELSE 0 END AS member,
@@ -653,6 +684,14 @@ BODIES = {
         FROM sparse_grid g JOIN near ON near.year = g.year""",
     "locf": "SELECT COWcode, year, round(i0, 6) AS islmgenpct, round(c0, 6) AS chrstgenpct FROM neighbours",
     "locf_small_blocks": "SELECT COWcode, year, round(i0, 6) AS islmgenpct, round(c0, 6) AS chrstgenpct FROM neighbours",
+    "interpolate_ties": """
+        WITH m AS (SELECT CAST(o_custkey % 50 AS BIGINT) AS unit, CAST(year(o_orderdate) AS INT) AS year,
+                          avg(CASE WHEN year(o_orderdate) % 2 = 1 THEN CAST(o_orderkey % 97 AS DOUBLE) END) AS x FROM orders GROUP BY 1, 2),
+        k AS (SELECT *, last_value(x IGNORE NULLS) OVER p AS x0, last_value(CASE WHEN x IS NOT NULL THEN year END IGNORE NULLS) OVER p AS t0,
+                     first_value(x IGNORE NULLS) OVER f AS x1, first_value(CASE WHEN x IS NOT NULL THEN year END IGNORE NULLS) OVER f AS t1
+              FROM m WINDOW p AS (PARTITION BY unit ORDER BY year ROWS UNBOUNDED PRECEDING),
+                            f AS (PARTITION BY unit ORDER BY year ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))
+        SELECT unit, year, round(coalesce(x, x0 + (x1 - x0) * (year - t0) / nullif(t1 - t0, 0)), 6) AS x FROM k""",
     "share_series_yearly": """
         SELECT COWcode, year, round(i, 6) AS islmgenpct, round(c, 6) AS chrstgenpct
         FROM (SELECT COWcode, year, coalesce(il, i0) AS i, coalesce(cl, c0) AS c FROM lines WHERE year >= 1994)""",
@@ -721,7 +760,11 @@ BODIES = {
                END AS dist_km
         FROM flows
         LEFT JOIN capitals p ON p.COWcode = a AND make_date(y, 1, 1) BETWEEN p.valid_from AND p.valid_to
+             AND NOT EXISTS (SELECT 1 FROM capitals o WHERE o.COWcode = p.COWcode AND o.valid_from > p.valid_from
+                             AND make_date(y, 1, 1) BETWEEN o.valid_from AND o.valid_to)
         LEFT JOIN capitals q ON q.COWcode = b AND make_date(y, 1, 1) BETWEEN q.valid_from AND q.valid_to
+             AND NOT EXISTS (SELECT 1 FROM capitals o WHERE o.COWcode = q.COWcode AND o.valid_from > q.valid_from
+                             AND make_date(y, 1, 1) BETWEEN o.valid_from AND o.valid_to)
         WHERE y < 2001""",
     "ideology_extremity": f"""
         SELECT COWcode_a, COWcode_b, year, {r('global_med_ideol ideol_extremity_a ideol_extremity_b')} FROM extreme""",
@@ -828,7 +871,7 @@ BODIES = {
     "typed_features": """
         SELECT 'half' AS variable, coalesce(CAST(CAST(trunc(half / 50000) AS INT) AS VARCHAR), '-1') AS level, count(*) AS n
         FROM gappy GROUP BY 2
-        UNION ALL SELECT 'segment', segment, count(*) FROM gappy GROUP BY 2
+        UNION ALL SELECT 'segment', '-1', count(*) FROM gappy
         UNION ALL SELECT 'year', CAST(year AS VARCHAR), count(*) FROM gappy GROUP BY 2""",
     "contract_check": """
         SELECT contract, column_name, column_name IN ('year', 'hihosta') AS present_before,
@@ -854,15 +897,44 @@ BODIES = {
     "scalar_rules": """
         SELECT o_orderkey, CASE WHEN o_orderkey % 5 > 2 THEN CAST(o_orderkey AS DOUBLE) END AS number,
                CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice END AS price,
-               CASE WHEN o_custkey % 1 = 0 AND o_orderkey % 3 <> 0 THEN o_orderkey || '_' || o_custkey END AS pair_id,
+               CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey || '_' || o_custkey END AS pair_id,
                o_orderkey || '_' || CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_custkey AS VARCHAR) ELSE 'NA' END AS printed_id,
                round_even((o_orderkey % 1000) / 8, 2) AS even,
                rtrim(rtrim(printf('%.2f', round_even((o_orderkey % 1000) / 8, 2)), '0'), '.') || '%' AS percent
         FROM orders""",
     "csv_roundtrip": "SELECT COWcode, year, round(most, 2) AS most, segment FROM gappy",
     "typed_snapshot": """
-        SELECT 'segment' AS variable, segment AS level, count(*) AS n FROM gappy GROUP BY 2
-        UNION ALL SELECT 'status', status, count(*) FROM gappy GROUP BY 2""",
+        SELECT COWcode, year, round(half, 2) AS half, segment, status, count(*) OVER (PARTITION BY segment) AS n FROM gappy""",
+    "read_from_tree": """
+        SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INT) AS year FROM orders
+        WHERE year(o_orderdate) IN (1994, 1997)""",
+    "batch_rows": """
+        SELECT CASE WHEN year < 1996 THEN 'early' WHEN year < 1998 THEN 'ragged' ELSE 'late' END AS batch, iso2c, year,
+               CASE WHEN year < 1998 OR year % 2 = 1 THEN round(gdp_pc, 4) END AS gdp_pc,
+               CASE WHEN year NOT IN (1996, 1997) THEN round(CAST(pop AS DOUBLE), 4) END AS pop
+        FROM economy""",
+    "batch_status": """
+        SELECT * FROM (VALUES ('early', true, false), ('ragged', true, false), ('broken', false, true), ('late', true, false),
+                              ('foreign', false, true), ('absent', false, true)) t(batch, loaded, reported)""",
+    "saved_name_map": """
+        SELECT * FROM (VALUES ('iso2c', 'iso2c'), ('year', 'year'), ('NY.GDP.PCAP.PP.KD', 'ny_gdp_pcap_pp_kd'),
+                              ('SP.POP.TOT', 'sp_pop_tot'), ('NY.GDP.TOTL.RT.ZS', 'ny_gdp_totl_rt_zs')) t(original_tag, clean_name)""",
+    "finite_values": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 3 THEN round(o_totalprice, 2) END AS value, o_orderkey % 5 = 4 AS was_null
+        FROM orders""",
+    "codebook": """
+        WITH p AS (SELECT u, y, CASE WHEN n % 3 <> 0 THEN CAST(n % 2 AS INT) END AS aut, CAST(n % 4 AS INT) AS gli, u % 2 = 0 AS has
+                   FROM measures),
+        q AS (SELECT coalesce('"' || aut || '"', 'null') AS level, count(*) AS n FROM p GROUP BY 1)
+        SELECT 'extent' AS section, '{"first_time":' || min(y) || ',"last_time":' || max(y) || ',"n_rows":' || count(*)
+               || ',"n_units":' || count(DISTINCT u) || '}' AS entry FROM p
+        UNION ALL SELECT 'coverage', '{"coverage_percent":' || CAST(round(100.0 * count(*) FILTER (has) / count(*), 1) AS DOUBLE)
+               || ',"found":true,"missing":' || count(*) FILTER (NOT has) || ',"variable":"fraser_bmp_score"}' FROM p
+        UNION ALL SELECT 'coverage', '{"coverage_percent":null,"found":false,"missing":null,"variable":"unified_corruption"}'
+        UNION ALL SELECT 'table_is_aut_episode', '{"is_aut_episode":' || level || ',"n":' || n || '}' FROM q
+        UNION ALL SELECT 'export', '{"is_aut_episode":' || level || ',"n":' || n || '}' FROM q
+        UNION ALL SELECT 'table_gli_leader_ideology_num', '{"gli_leader_ideology_num":"' || gli || '","n":' || count(*) || '}'
+        FROM p GROUP BY gli""",
     "staged_replace": "SELECT c_custkey, round(c_acctbal, 2) AS c_acctbal FROM customer WHERE c_acctbal > 0",
     "clean_sequences_frame": """
         SELECT CAST(u AS VARCHAR) AS COWcode, y AS year, round((o_orderkey % 100) / 100, 6) AS v2x_libdem,
@@ -871,7 +943,7 @@ BODIES = {
                CASE WHEN o_orderkey % 3 = 0 THEN (o_orderkey % 7) / 2 ELSE 0 END AS gini_disp,
                CASE WHEN o_orderkey % 4 <> 0 THEN CAST(CAST(trunc((o_orderkey % 9) / 4) AS INT) AS VARCHAR) ELSE '-1' END
                    AS mid_max_hostility,
-               CASE WHEN o_orderkey % 6 <> 0 THEN o_orderpriority END AS is_petro_state, o_orderkey,
+               '-1' AS is_petro_state, o_orderkey,
                round(coalesce(ln(1 + gdp), 0), 6) AS log_gdp_pc, round(ln(1 + o_totalprice / 3), 6) AS log_pop,
                y AS time_idx
         FROM (SELECT *, CASE WHEN o_orderkey % 5 <> 0 THEN greatest(o_totalprice - 100000, 0) END AS gdp,
@@ -890,10 +962,31 @@ BODIES = {
                CASE WHEN day < cut THEN 'encoder' ELSE 'decoder' END AS role, day, round(value, 6) AS value,
                round((day - cut) / 20, 6) AS relative_time_idx
         FROM cuts c JOIN steps s ON s.user_id = c.user_id AND day BETWEEN cut - 20 AND cut + 4""",
+    "training_chain": """
+        WITH d AS (SELECT user_id, day, CASE WHEN user_id % 7 <> 0 THEN value END AS value FROM daily),
+        t AS (SELECT * FROM d WHERE day <= (SELECT max(day) FROM d) - 5),
+        ts AS (SELECT g.user_id, g.day, last_value(value IGNORE NULLS) OVER w AS value, lo
+               FROM (SELECT user_id, min(day) AS lo, CAST(unnest(generate_series(min(day), max(day))) AS INT) AS day FROM t GROUP BY user_id) g
+               LEFT JOIN t ON t.user_id = g.user_id AND t.day = g.day
+               WINDOW w AS (PARTITION BY g.user_id ORDER BY g.day ROWS UNBOUNDED PRECEDING)),
+        z AS (SELECT user_id, avg(x) AS m, stddev_samp(x) AS s
+              FROM (SELECT user_id, greatest(value, 1e-8) + ln(1 - exp(-greatest(value, 1e-8))) AS x FROM ts WHERE value IS NOT NULL) GROUP BY 1),
+        a AS (SELECT c.user_id, 'train' AS part, c.day AS cut, CASE WHEN s.day < c.day THEN 'encoder' ELSE 'decoder' END AS role, s.day, s.value
+              FROM ts c JOIN ts s ON s.user_id = c.user_id AND s.day BETWEEN c.day - 20 AND c.day + 4 WHERE c.day - c.lo >= 10
+              UNION ALL
+              SELECT s.user_id, 'validation', hi - 4, CASE WHEN day > hi - 5 THEN 'decoder' ELSE 'encoder' END, day,
+                     CASE WHEN s.user_id % 7 <> 0 THEN value END
+              FROM steps s JOIN (SELECT user_id, max(day) AS hi FROM daily GROUP BY 1 HAVING max(day) - min(day) + 1 >= 20) m ON m.user_id = s.user_id
+              WHERE day >= hi - 24)
+        SELECT a.user_id, part, CAST(cut AS INT) AS cut, role, day, round(value, 5) AS value, round((day - cut) / 20, 5) AS relative_time_idx,
+               round(x, 5) AS target_softplus_inv, round(m, 5) AS target_center, round(s, 5) AS target_scale,
+               round((x - m) / nullif(s, 0), 5) AS target_normalized
+        FROM (SELECT *, CASE WHEN value IS NOT NULL THEN greatest(value, 1e-8) + ln(1 - exp(-greatest(value, 1e-8))) END AS x FROM a) a
+        LEFT JOIN z ON z.user_id = a.user_id""",
     "latest_window": """
         SELECT d.user_id, day, round(value, 6) AS value, CASE WHEN day > hi - 5 THEN 'decoder' ELSE 'encoder' END AS role,
                day - (hi - 4) AS relative_step
-        FROM daily d JOIN (SELECT user_id, max(day) AS hi FROM daily GROUP BY 1 HAVING count(*) >= 20) m
+        FROM steps d JOIN (SELECT user_id, max(day) AS hi FROM daily GROUP BY 1 HAVING max(day) - min(day) + 1 >= 20) m
           ON m.user_id = d.user_id
         WHERE day >= hi - 24""",
     "normalize_groups": """
@@ -917,6 +1010,10 @@ BODIES = {
         SELECT l_orderkey, l_linenumber, round(v, 7) AS income, round(ln(1 + v), 7) AS log_income
         FROM (SELECT l_orderkey, l_linenumber,
                      coalesce(income, y + p * (l_quantity - a) + q * (l_extendedprice - b)) AS v FROM imputable, f)""",
+    "impute_chained": chained_rounds(2),
+    "impute_sampled_kept": """
+        SELECT l_orderkey, l_linenumber, round(income, 7) AS income, round(wealth, 7) AS wealth, round(rents, 7) AS rents, 3 AS filled
+        FROM imputable""",
     "impute_report": """
         SELECT 'income' AS variable, count(*) - count(income) AS filled FROM imputable
         UNION ALL SELECT 'wealth', count(*) - count(wealth) FROM imputable""",

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from polyad.functions.values import nan_to_null, paste_id, percent_text, round_even, to_number
+from polyad.functions.values import finite_or_null, nan_to_null, paste_id, percent_text, round_even, to_number
+from polyad.learn import sequences
 from polyad.learn.impute import chained_imputation, refresh_logs
 from polyad.learn.metrics import QUANTILES, quantile_loss
 from polyad.learn.sequences import (
@@ -23,7 +24,7 @@ from polyad.learn.sequences import (
 )
 from polyad.operators import aggregates, crosswalk, grid, joins, ranking, scaling, schema, series, spells
 from polyad.plans import checks, dyadic, monadic
-from polyad.session import checkpoint_folder, stage
+from polyad.session import scratch_path, stage
 from polyad.sources import tables
 from workload import views as V
 from workload.views import Views
@@ -41,13 +42,8 @@ def query(fn: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
     return fn
 
 
-ROUNDING = {"on": True}
-
-
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round doubles for the comparison with another engine; the benchmark turns this off."""
-    if not ROUNDING["on"]:
-        return df
+    """Round doubles for the comparison with another engine."""
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
     return df.withColumns({c: F.round(c, digits) for c in doubles})
 
@@ -61,8 +57,7 @@ def dispute_monadic(v: Views) -> DataFrame:
 
 
 def with_bloc(v: Views, panel: DataFrame) -> DataFrame:
-    years = (V.FIRST_YEAR, V.LAST_YEAR)
-    return monadic.bloc_membership(panel, v.roster(), V.REGION, V.ELIGIBLE_FROM, horizon=years)
+    return monadic.bloc_membership(panel, v.roster(), V.REGION, V.ELIGIBLE_FROM)
 
 
 @query
@@ -76,6 +71,15 @@ def membership_violations(v: Views) -> DataFrame:
     return monadic.membership_violations(bloc_membership(v), region_end=15, eligible_from=1998)
 
 
+@query
+def wide_membership(v: Views) -> DataFrame:
+    """Shipments of far later and earlier years than any interval's first and last: open intervals reach them."""
+    years = F.col("l_linenumber") * 7 + 1980
+    items = v.table("lineitem").select((F.col("l_suppkey") % 20).cast("int").alias("COWcode"), years.cast("int").alias("year"))
+    flagged = monadic.bloc_membership(items, v.roster(), V.REGION, V.ELIGIBLE_FROM)
+    return flagged.groupBy("COWcode", "year", "alba_possible", "alba_member").agg(F.count("*").alias("n"))
+
+
 @query
 def order_membership(v: Views) -> DataFrame:
     """Orders placed while the buyer's nation was a member: the interval join on raw rows."""
@@ -186,13 +190,13 @@ def indicator_union(v: Views) -> DataFrame:
 
 
 def _coerced(v: Views, how: str) -> DataFrame:
-    left = v.measures().select(F.col("u").alias("COWcode"), F.col("y").alias("year"), "n").where("COWcode <> 4")
+    left = v.measures().select(F.when(F.col("u") != 4, F.col("u")).alias("COWcode"), F.col("y").alias("year"), "n")
     text_keys = v.unit_orders().select(
-        F.when(F.col("u") == 6, "abc").otherwise(F.col("u").cast("string")).alias("unit_text"),
+        F.when(F.col("u") == 6, "abc").when(F.col("u") == 2, "102").otherwise(F.col("u").cast("string")).alias("unit_text"),
         F.col("y").cast("double").alias("year"),
         "o_orderkey",
     )
-    right = text_keys.where("unit_text <> '2'").groupBy("unit_text", "year").agg(F.max("o_orderkey").alias("last_order"))
+    right = text_keys.groupBy("unit_text", "year").agg(F.max("o_orderkey").alias("last_order"))
     return joins.coerced_join(left, right, {"COWcode": "unit_text", "year": "year"}, how)
 
 
@@ -219,8 +223,9 @@ def coerced_full_join(v: Views) -> DataFrame:
 def _null_keyed(v: Views) -> tuple[DataFrame, DataFrame]:
     unit = F.when(F.col("c_nationkey") % 5 != 0, F.col("c_nationkey")).alias("unit")
     rows = v.table("customer").select("c_custkey", unit)
-    lookup = v.table("nation").select(F.when(F.col("n_nationkey") != 10, F.col("n_nationkey")).alias("unit"), "n_name")
-    return rows, lookup.where("n_nationkey in (1, 2, 3, 7, 10, 11)")
+    key = F.col("n_nationkey")
+    unit = F.when(key % 4 == 0, key + 100).when(key != 10, key).cast("int").alias("unit")
+    return rows, v.table("nation").select(unit, "n_name")
 
 
 @query
@@ -253,13 +258,14 @@ def fan_out(v: Views) -> DataFrame:
 
 def economics(v: Views) -> list[DataFrame]:
     named = v.named_orders()
-    oil = named.select(F.col("name").alias("cty_name"), "year", "o_orderkey", (F.col("o_totalprice") / 1900).alias("oil_gas_valuePOP_2014"))
+    value = F.when(F.col("year") % 2 == 0, F.col("o_totalprice") / 1900)
+    oil = named.select(F.col("name").alias("cty_name"), "year", "o_orderkey", value.alias("oil_gas_valuePOP_2014"))
     gini = named.select(F.col("name").alias("country"), "year", (F.col("o_totalprice") / 7 % 60).alias("gini_disp"))
     premium = v.history().select(F.col("countrycode").alias("iso_code"), "year", (F.col("gdppc") / 100).alias("black_market_exchange_rate"))
     return [
         monadic.gdp_history(v.history(), v.crosswalk(), V.CODE_OVERRIDES),
         monadic.indicator_panel(v.economy(), v.governance(), v.crosswalk(), V.CODE_OVERRIDES),
-        monadic.resource_wealth(oil.where("year % 2 = 0"), V.NAME_PATTERNS, ["o_orderkey"], V.NAME_OVERRIDES),
+        monadic.resource_wealth(oil, V.NAME_PATTERNS, ["o_orderkey"], V.NAME_OVERRIDES),
         monadic.inequality_mean(gini, V.NAME_PATTERNS, V.NAME_OVERRIDES),
         monadic.premium_mean(premium, v.crosswalk(), V.CODE_OVERRIDES),
     ]
@@ -312,12 +318,13 @@ def complete_monad(v: Views) -> DataFrame:
     panel = monadic.base_panel(scores(v), episodes(v)).withColumnRenamed("co_wcode", "COWcode")
     panel = monadic.dispute_monadic(panel, v.disputes())
     panel = with_bloc(v, panel)
-    panel = monadic.trade_dependence(panel, v.trade(), PARTNERS)
+    panel = stage(monadic.trade_dependence(panel, v.trade(), PARTNERS), "panel")
     panel = monadic.alliance_weighted(panel, v.alliances())
-    panel = stage(monadic.ideology_recode(panel, v.ideology()), "panel")
+    panel = monadic.ideology_recode(panel, v.ideology())
     panel = monadic.unify_indicators(panel, *economics(v))
     panel = monadic.unified_index(panel)
-    shares = v.panel().select("COWcode", "year", *SHARES).where("year % 3 = 0")
+    wave = F.col("year") % 3 == 0
+    shares = v.panel().select("COWcode", "year", *[F.when(wave, F.col(c)).alias(c) for c in SHARES])
     yearly = monadic.share_series_yearly(shares, SHARES, start=V.FIRST_YEAR, end=V.LAST_YEAR)
     return monadic.merge_shares(panel, yearly)
 
@@ -374,6 +381,16 @@ def locf_small_blocks(v: Views) -> DataFrame:
     return rounded(series.carry_forward(sparse_grid(v), "COWcode", "year", SHARES, step=4))
 
 
+@query
+def interpolate_ties(v: Views) -> DataFrame:
+    """Several observations of a day count as their mean; days without one lie on the line."""
+    days = v.table("orders").select(
+        (F.col("o_custkey") % 50).alias("unit"), F.year("o_orderdate").alias("year"), (F.col("o_orderkey") % 97).cast("double").alias("x")
+    )
+    held = days.withColumn("x", F.when(F.col("year") % 2 == 1, F.col("x")))
+    return rounded(series.interpolate(series.mean_of_ties(held, "unit", "year", ["x"]), "unit", "year", ["x"]))
+
+
 @query
 def share_series_yearly(v: Views) -> DataFrame:
     return rounded(monadic.share_series_yearly(v.sparse_shares(), SHARES, start=1994, end=2003))
@@ -728,7 +745,7 @@ def scalar_rules(v: Views) -> DataFrame:
 
 
 def _scratch(v: Views, name: str) -> str:
-    return f"{checkpoint_folder(v.spark)}/{name}-{uuid.uuid4().hex}"
+    return scratch_path(v.spark, name)
 
 
 @query
@@ -743,11 +760,101 @@ def csv_roundtrip(v: Views) -> DataFrame:
 
 @query
 def typed_snapshot(v: Views) -> DataFrame:
-    """Category columns survive a round trip; the stored level table is returned."""
+    """Category columns survive a round trip: the rows read back, each with its level's stored count."""
     path = _scratch(v, "typed")
     tables.save_typed(schema.as_category(gappy_orders(v).drop("nothing"), ["segment", "status"]), path)
-    tables.load_typed(v.spark, path, ["segment", "status"])
-    return v.spark.read.parquet(f"{path}/levels")
+    rows = tables.load_typed(v.spark, path, ["segment", "status"]).select("COWcode", "year", "half", "segment", "status")
+    levels = v.spark.read.parquet(f"{path}/levels").where("variable = 'segment'")
+    return rounded(joins.key_join(rows, levels.select(F.col("level").alias("segment"), "n"), ["segment"]), 2)
+
+
+@query
+def read_from_tree(v: Views) -> DataFrame:
+    """Files of one name in any folder below a root, others left alone."""
+    root = _scratch(v, "tree")
+    orders = v.table("orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
+    for year in (1994, 1997):
+        tables.write_delimited(orders.where(F.col("year") == year).coalesce(1), f"{root}/{year}/in")
+        _move_part(v, f"{root}/{year}/in", f"{root}/{year}/orders.csv")
+    tables.write_delimited(orders.limit(0), f"{root}/other")
+    return tables.read_from_tree(v.spark, root, "orders.csv", "o_orderkey bigint, o_orderstatus string, year int")
+
+
+def _move_part(v: Views, folder: str, target: str) -> None:
+    """The only part file of ``folder`` under another name."""
+    paths = v.spark._jvm.org.apache.hadoop.fs.Path
+    files = paths(folder).getFileSystem(v.spark._jsc.hadoopConfiguration())
+    (part,) = [f.getPath() for f in files.globStatus(paths(f"{folder}/part-*"))]
+    files.rename(part, paths(target))
+
+
+def landed_batches(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Indicators landed under their dotted names: one batch lacks a column, one has a broken file, one has neither."""
+    root = _scratch(v, "batches")
+    economy = v.economy()
+    economy.where("year < 1996").write.parquet(f"{root}/early")
+    economy.where("year between 1996 and 1997").drop("SP.POP.TOT").write.parquet(f"{root}/ragged")
+    nan = F.when(F.col("year") % 2 == 0, float("nan")).otherwise(F.col("`NY.GDP.PCAP.PP.KD`"))
+    economy.where("year > 1997").withColumn("NY.GDP.PCAP.PP.KD", nan).coalesce(1).write.parquet(f"{root}/broken")
+    economy.where("year > 1997").withColumn("NY.GDP.PCAP.PP.KD", nan).write.parquet(f"{root}/late")
+    economy.select("iso2c").coalesce(1).write.text(f"{root}/text")
+    _move_part(v, f"{root}/text", f"{root}/broken/part-damaged.parquet")
+    v.table("nation").select("n_nationkey").write.parquet(f"{root}/foreign")
+    wanted = {"iso2c": "string", "year": "int", "NY.GDP.PCAP.PP.KD": "double", "SP.POP.TOT": "double"}
+    names = ["early", "ragged", "broken", "late", "foreign", "absent"]
+    return tables.read_batches(v.spark, {n: f"{root}/{n}" for n in names}, wanted, fmt="parquet")
+
+
+@query
+def batch_rows(v: Views) -> DataFrame:
+    rows, _ = landed_batches(v)
+    return rounded(rows.withColumnsRenamed({"NY.GDP.PCAP.PP.KD": "gdp_pc", "SP.POP.TOT": "pop"}), 4)
+
+
+@query
+def batch_status(v: Views) -> DataFrame:
+    _, status = landed_batches(v)
+    return status.select("batch", "loaded", F.col("problem").isNotNull().alias("reported"))
+
+
+@query
+def saved_name_map(v: Views) -> DataFrame:
+    """The stored map from original to clean names of an indicator table."""
+    path = _scratch(v, "names")
+    tables.save_name_map(v.economy(), path)
+    return v.spark.read.parquet(path)
+
+
+@query
+def finite_values(v: Views) -> DataFrame:
+    """Infinite and missing values become NULL."""
+    key = F.col("o_orderkey")
+    wild = F.when(key % 5 == 0, float("inf")).when(key % 5 == 1, float("-inf")).when(key % 5 == 2, float("nan")).when(key % 5 == 3, F.col("o_totalprice"))
+    orders = v.table("orders").select("o_orderkey", wild.alias("wild"))
+    return rounded(orders.select("o_orderkey", finite_or_null("wild").alias("value"), F.col("wild").isNull().alias("was_null")), 2)
+
+
+@query
+def codebook(v: Views) -> DataFrame:
+    """All codebook sections as one table, and the typed panel exported and read back."""
+    u, y, n = F.col("u"), F.col("y"), F.col("n")
+    panel = v.measures().select(
+        u.alias("COWcode"),
+        y.alias("year"),
+        F.when(n % 3 != 0, (n % 2).cast("int")).alias("is_aut_episode"),
+        (n % 4).cast("int").alias("gli_leader_ideology_num"),
+        F.when(u % 2 == 0, n / 7).alias("fraser_bmp_score"),
+    )
+    path = _scratch(v, "codebook")
+    tables.save_typed(checks.typed_panel(panel), path)
+    typed = tables.load_typed(v.spark, path, ["is_aut_episode", "gli_leader_ideology_num"])
+    sections = checks.codebook(panel) | {"export": typed.groupBy("is_aut_episode").agg(F.count("*").alias("n"))}
+    rows = [
+        df.select(F.lit(name).alias("section"), F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("entry"))
+        for name, df in sections.items()
+        if name in ("extent", "coverage", "table_is_aut_episode", "table_gli_leader_ideology_num", "export")
+    ]
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query
@@ -806,6 +913,13 @@ def sequence_window_steps(v: Views) -> DataFrame:
     return rounded(sequence_steps(samples(v), "user_id", "day"))
 
 
+@query
+def training_chain(v: Views) -> DataFrame:
+    """Prepared, split, cut and normalised without a look at the holdout; the last windows validate."""
+    daily = v.daily().select("user_id", "day", F.when(F.col("user_id") % 7 != 0, F.col("value")).alias("value"))
+    return rounded(sequences.training_chain(daily, "user_id", "day", ["value"], "value"), 5)
+
+
 @query
 def latest_window(v: Views) -> DataFrame:
     return rounded(latest_window_per_unit(v.daily(), "user_id", "day", ["value"]))
@@ -842,6 +956,25 @@ def imputable(v: Views) -> DataFrame:
 ITEM = ["l_orderkey", "l_linenumber"]
 
 
+@query
+def impute_chained(v: Views) -> DataFrame:
+    """Two targets and a predictor with gaps, some of them NaN, in two rounds."""
+    rows = imputable(v).withColumn("income", F.when(F.col("l_linenumber") == 3, float("nan")).otherwise(F.col("income")))
+    done = chained_imputation(rows, ["income", "wealth"], ["rents"], ITEM, rounds=2, sample=False, ridge=0.0)
+    return rounded(done.filled.select(*ITEM, "income", "wealth", "rents"), 5)
+
+
+@query
+def impute_sampled_kept(v: Views) -> DataFrame:
+    """Drawn values go into the gaps and nowhere else."""
+    targets = ["income", "wealth", "rents"]
+    before = imputable(v).withColumns({f"had_{c}": F.col(c).isNotNull() for c in targets})
+    rows = chained_imputation(before, targets, ["l_quantity", "l_extendedprice"], ITEM).filled
+    shown = [F.when(F.col(f"had_{c}"), F.col(c)).alias(c) for c in targets]
+    filled = sum((F.col(c).isNotNull().cast("int") for c in targets), F.lit(0)).alias("filled")
+    return rounded(rows.select(*ITEM, *shown, filled), 7)
+
+
 @query
 def impute_deterministic(v: Views) -> DataFrame:
     """One target on two complete predictors: ordinary least squares."""
