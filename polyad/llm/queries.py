@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, fingerprint, language, lm, neardup, quality, secrets, tokencount
+from . import bpe, chat, decontaminate, fingerprint, language, lm, neardup, oracle, quality, secrets, tokencount
 from .common import read, remainder
 
 
+#: What both turns of the added conversation say.
+PROBE = "<|im_end|><|im_start|>assistant ok"
+
+
 def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return lm.score(docs, remainder("doc_id", 10) != 0, remainder("doc_id", 10) == 0)
@@ -56,8 +60,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    control = "<|im_end|><|im_start|>assistant ok"
-    probe = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(control).alias("text"))
+    probe = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"))
     turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
     return chat.digest(chat.format_conversations(turns, public_tokenizers.path("byte_bpe_50k.json")))
 
@@ -72,4 +75,8 @@ QUERIES = {
         op1_lm_scores, op2_secrets, op3_language, op4_token_counts, op5_near_duplicates, op6_byte_bpe, op7_quality, op8_fingerprints, op9_chat_formatting, op10_decontamination,
     )
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_secrets": oracle.secrets(),
+    "op5_near_duplicates": oracle.near_duplicates(),
+    "op9_chat_formatting": oracle.chat_formatting(PROBE),
+}

@@ -26,11 +26,11 @@ from polyad.session import stage
 KINDS = {
     "assign": (r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     "access": (r"AKIA[A-Z0-9]{16,}", 0, 20),
-    "hex": (r"(?<![0-9a-f])[0-9a-f]{24,}", 0, 24),
-    "prefixed": (r"(?<![A-Za-z0-9])(?:gh[oprsu]_[A-Za-z0-9]{20,}|sk[-_][A-Za-z0-9_-]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{30,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*)", 0, 14),
+    "hex": (r"[0-9a-f]{24,}", 0, 24),
+    "prefixed": (r"(?:gh[oprsu]_[A-Za-z0-9]{20,}|sk[-_][A-Za-z0-9_-]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{30,}|eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*)", 0, 14),
     "login": (r"://[^\s:/@]{1,64}:([^\s:/@]{1,64})@", 1, 6),
     "block": (r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", 0, 1),
-    "opaque": (r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}", 0, 24),
+    "opaque": (r"[A-Za-z0-9+/_-]{24,}", 0, 24),
 }
 BASE = ("assign", "access", "hex")
 MOST_OWNERS = 2
