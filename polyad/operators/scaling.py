@@ -49,3 +49,14 @@ def attach_medians(df: DataFrame, by: Sequence[str], value: str, into: str) -> D
     broadcasts them when they are few and shuffles when they are not.
     """
     return key_join(df, stage(medians(df, by, value, into), "medians"), list(by))
+
+
+def attach_attribute_medians(df: DataFrame, by: Sequence[str], value: str, into: str) -> DataFrame:
+    """:func:`attach_medians` for an attribute that many rows share, such as a unit's score in a table of pairs.
+
+    Rows are counted per distinct value first, in the map tasks. A group's distinct
+    values, as many as there are units, then meet in one buffer. ``df`` is read twice.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("__n"))
+    found = counts.groupBy(*by).agg(F.percentile(F.col(value).cast("double"), 0.5, F.col("__n")).alias(into))
+    return key_join(df, stage(found, "medians"), list(by))

@@ -12,7 +12,7 @@ from polyad.functions.values import flag, known_flag, sentinel_to_null, year_sta
 from polyad.operators.crosswalk import map_codes
 from polyad.operators.grid import all_pairs
 from polyad.operators.joins import enrich_both_sides, events_join, key_join
-from polyad.operators.scaling import attach_medians, zscores
+from polyad.operators.scaling import attach_attribute_medians, zscores
 from polyad.operators.schema import drop, rename_aliases, starts_with
 from polyad.operators.spells import expand_spells, spell_tenure
 from polyad.plans.constants import LEADER_COLUMNS, MONAD_ALIASES
@@ -180,7 +180,7 @@ def dyad_leaders(dyads: DataFrame, leaders: DataFrame, salt: int = 0) -> DataFra
 
 def ideology_extremity(dyads: DataFrame, score: str = "v2exl_legitideol") -> DataFrame:
     """Distance of both sides from the yearly median of side a's score."""
-    dyads = attach_medians(dyads, ["year"], f"{score}_a", "global_med_ideol")
+    dyads = attach_attribute_medians(dyads, ["year"], f"{score}_a", "global_med_ideol")
     return dyads.withColumns(
         {f"ideol_extremity_{s}": F.abs(F.col(f"{score}_{s}") - F.col("global_med_ideol")) for s in ("a", "b")}
     )

@@ -103,3 +103,8 @@ def test_results_do_not_depend_on_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert runs[0] == runs[1] == runs[2]
+
+
+def test_attribute_medians_are_medians(make):
+    df = make("g int, x double", [(1, 1.0)] * 5 + [(1, 4.0)] * 3 + [(1, 9.0)] * 4 + [(1, None), (None, 2.0), (None, 3.0), (2, None)])
+    assert values(scaling.attach_attribute_medians(df, ["g"], "x", "m")) == values(scaling.attach_medians(df, ["g"], "x", "m"))
