@@ -8,9 +8,13 @@ that share a key are candidates; links are confirmed on the full sets.
 No bucket is expanded into all pairs. First each node is compared with the
 most similar of the least nodes of its buckets; then, for every two components
 that still share a bucket, the most similar such pair; in the end only buckets that
-hold more than one component are left, and of them all pairs between different
-components whose sizes and sketches allow a link. So a link between different
-components is never dropped, and what is not compared is already connected.
+hold more than one component are left, and in them the nodes outside the bucket's
+first component meet all others. Of these pairs, each at its first common key only,
+those are compared that are in different components and may be alike. So a link
+between different components is never dropped, and what is not compared is
+already connected. Whether two sets may be alike is read from their sizes and from
+bitmaps of PARITY bits, each the parity of the shingles that fall on it: two bitmaps
+differ in no more bits than the sets in shingles, so this bound is exact.
 
 Edge cases: words are runs between ASCII blanks, A-Z lower-cased. A text with
 fewer words than a shingle is one shingle; an empty or NULL text has none, is
@@ -37,6 +41,7 @@ SHINGLE = 5
 TABLES, ROWS = 12, 3  # bands of a collection, minhashes of a band: a pair at 0.75 shares a key with probability 0.997
 SPLIT = 500  # comparisons with one node in a task
 FILTER_BITS = 1 << 24  # of the filter that spares the sets of nodes without candidates; more nodes only make it less selective
+PARITY = 512
 _SEED = 0x9E3779B97F4A7C15
 
 
@@ -77,7 +82,7 @@ def _reduced(function: np.ufunc, values: np.ndarray, ends: np.ndarray) -> np.nda
 
 
 def signatures(docs: DataFrame, tables: int = TABLES, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
-    """(key, doc_id, n, a, b, bands, sketch): a set's size, 128-bit name, bands of both collections and a 64-bit sketch."""
+    """(key, doc_id, n, a, b, bands, sketch, parity): a set's size, 128-bit name, bands of both collections, a 64-bit sketch and its parities."""
     count = 2 * tables * rows
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,23 +105,29 @@ def signatures(docs: DataFrame, tables: int = TABLES, rows: int = ROWS, size: in
                     if i < 64:
                         sketch[full] |= (mixed(least) & np.uint64(1)) << np.uint64(i)
             flat = pa.array(bands.reshape(-1).view(np.int64))
+            place = np.repeat(np.arange(len(sizes)), sizes) * PARITY + (mixed(found ^ np.uint64(_SEED >> 1)) % np.uint64(PARITY)).astype(np.int64)
+            odd = (np.bincount(place, minlength=len(sizes) * PARITY) & 1).astype(bool)
+            parity = pa.array(np.packbits(odd).view(np.int64))
             yield pa.record_batch(
                 [
                     block.column("key"), block.column("doc_id").cast(pa.int64()), pa.array(sizes), *(pa.array(x.view(np.int64)) for x in names),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * 2 * tables, pa.int32()), flat), pa.array(sketch.view(np.int64)),
+                    pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * (PARITY // 64), pa.int32()), parity),
                 ],
-                names=["key", "doc_id", "n", "a", "b", "bands", "sketch"],
+                names=["key", "doc_id", "n", "a", "b", "bands", "sketch", "parity"],
             )
 
     keyed = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
-    return keyed.mapInArrow(sign, "key long, doc_id long, n long, a long, b long, bands array<long>, sketch long")
+    return keyed.mapInArrow(sign, "key long, doc_id long, n long, a long, b long, bands array<long>, sketch long, parity array<long>")
 
 
 def table_keys(nodes: DataFrame, tables: int = TABLES) -> DataFrame:
-    """(key, node): T * T keys of a node, each from one band of either collection."""
+    """(key, node, i, j): T * T keys of a node, each from band i of the first collection and band j of the second."""
     first = F.posexplode(F.slice("bands", 1, tables)).alias("i", "x")
     second = F.posexplode(F.slice("bands", tables + 1, tables)).alias("j", "y")
-    return nodes.select("node", "bands", first).select("node", "i", "x", second).select(F.xxhash64("i", "x", "j", "y").alias("key"), "node")
+    return nodes.select("node", "bands", first).select("node", "i", "x", second).select(
+        F.xxhash64("i", "x", "j", "y").alias("key"), "node", F.col("i").cast("byte").alias("i"), F.col("j").cast("byte").alias("j")
+    )
 
 
 def _needed_sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
@@ -209,17 +220,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = TABLES, ro
     nodes = signed.join(classes.select(F.col("node").alias("key")), "key", "left_semi").withColumnRenamed("key", "node")
     # buckets with company, and the least node of each
     bucket = Window.partitionBy("key")
-    shared = table_keys(nodes, tables).withColumn("y", F.min("node").over(bucket)).withColumn("last", F.max("node").over(bucket)).where("y < last").select("key", "node", "y")
+    shared = table_keys(nodes, tables).withColumn("y", F.min("node").over(bucket)).withColumn("last", F.max("node").over(bucket)).where("y < last").select("key", "node", "y", "i", "j")
     shared = stage(shared, "buckets")
-    about = stage(nodes.join(shared.select("node").distinct(), "node").select("node", "doc_id", "a", "b", "n", "sketch"), "nodes")
+    about = stage(nodes.join(shared.select("node").distinct(), "node").select("node", "doc_id", "a", "b", "n", "bands", "sketch", "parity"), "nodes")
     sets = _needed_sets(docs, about, size)
     sets = stage(sets, "sets")
     named = about.select("node", "doc_id", "a", "b")
     sets = sets.join(named, [sets.doc_id.eqNullSafe(named.doc_id), sets.a == named.a, sets.b == named.b]).select("node", "shingles").dropDuplicates(["node"])
     sets = stage(sets, "sets")
-    side = lambda x: about.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+    side = lambda x: about.select(F.col("node").alias(x), *(F.col(c).alias(f"{o}_{x}") for c, o in (("n", "n"), ("sketch", "s"), ("parity", "p"))))
     agree = 64 - F.bit_count(F.col("s_x").bitwiseXOR(F.col("s_y")))
-    able = f"100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) AND bit_count(s_x ^ s_y) <= {_most_unlike(percent)}"
+    apart = " + ".join(f"bit_count(p_x[{k}] ^ p_y[{k}])" for k in range(PARITY // 64))
+    able = f"100 * least(n_x, n_y) >= {percent} * greatest(n_x, n_y) AND {100 + percent} * ({apart}) <= {100 - percent} * (n_x + n_y)"
     stars = shared.where("node <> y").select(F.col("node").alias("x"), "y").distinct()
     stars = stage(stars.join(side("x"), "x").join(side("y"), "y").where(able).select("x", "y", agree.alias("agree")), "stars")
     best = F.max(F.struct("agree", -F.col("y"), -F.col("x"))).alias("best")
@@ -232,13 +244,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = TABLES, ro
     links = stage(links.unionByName(confirm(stage(second, "pairs"), sets, percent)), "confirmed")
     roots = components(links)
     # what still shares a bucket with another component
-    placed = stage(_with_roots(shared.select("key", "node"), roots, "node", "c"), "placed")
-    mixed_keys = placed.groupBy("key").agg(F.min("c").alias("c"), F.max("c").alias("d")).where("c < d").select("key")
-    rest = placed.join(mixed_keys, "key", "left_semi").join(about.select("node", "n", "sketch"), "node")
+    placed = stage(_with_roots(shared.select("key", "node", "i", "j"), roots, "node", "c"), "placed")
+    mixed_keys = placed.groupBy("key").agg(F.min("c").alias("first"), F.max("c").alias("last")).where("first < last").select("key", "first")
+    rest = placed.join(stage(mixed_keys, "mixed"), "key").join(about.select("node", "n", "bands", "parity"), "node")
     rest = stage(rest, "rest")
-    left = rest.select("key", *(F.col(c).alias(f"{o}_x") for c, o in (("node", "id"), ("c", "c"), ("n", "n"), ("sketch", "s"))))
-    right = rest.select("key", *(F.col(c).alias(f"{o}_y") for c, o in (("node", "id"), ("c", "c"), ("n", "n"), ("sketch", "s"))))
-    third = left.join(right, "key").where(f"c_x > c_y AND {able}").select(F.col("id_x").alias("x"), F.col("id_y").alias("y")).distinct()
+    shown = (("node", "id"), ("c", "c"), ("n", "n"), ("bands", "b"), ("parity", "p"))
+    left = rest.where("c > first").select("key", "i", "j", *(F.col(c).alias(f"{o}_x") for c, o in shown))
+    right = rest.select("key", *(F.col(c).alias(f"{o}_y") for c, o in shown))
+    # bands of different places are never equal, so overlapping slices share a band at one place
+    earlier = f"arrays_overlap(slice(b_x, 1, i), slice(b_y, 1, i)) OR arrays_overlap(slice(b_x, {tables + 1}, j), slice(b_y, {tables + 1}, j))"
+    third = left.join(right, "key").where(f"c_x > c_y AND {able} AND NOT ({earlier})").select(F.col("id_x").alias("x"), F.col("id_y").alias("y"))
     links = stage(links.unionByName(confirm(stage(third, "pairs"), sets, percent)), "confirmed")
     roots = components(links)
     rooted = _with_roots(classes, roots, "node", "root")
@@ -247,9 +262,3 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = TABLES, ro
     out = signed.select("doc_id", "n", "a", "b").join(labels, ["a", "b"], "left")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
-
-
-def _most_unlike(percent: int) -> int:
-    """Sketch bits that may differ: about five standard deviations more than two sets at the threshold differ in on average."""
-    p = (1 - percent / 100) / 2
-    return min(64, int(64 * p + 5 * (64 * p * (1 - p)) ** 0.5) + 1)
