@@ -29,10 +29,10 @@ from pyspark.sql import DataFrame
 
 from .common import blocks, map_batches, worker_memory
 
-MEMORY = "500MB"  # a database's working memory
-MEMO = 600_000  # words that a worker remembers at most
+MEMORY = "300MB"  # a database's working memory
+MEMO = 350_000  # words that a worker remembers at most
 SHORT = 48  # bytes of a word that contracts one pair a round
-CHUNK = 400_000  # bytes of short words in one recursive query
+CHUNK = 200_000  # bytes of short words in one recursive query
 STATES = 2_000_000  # rows that a recursive query over long words may pile up, if one round has no more
 
 # k: round; w: word; p, e: first place of a token and of the next one, over all words, with a gap between words; t: token
@@ -244,7 +244,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(source: Iterator[tuple]) -> Iterator[list]:
         own = coder(path, pattern)
-        for held in blocks(source, 1, 2_000_000):
+        for held in blocks(source, 1, 1_000_000):
             places = own.places([r[1] or "" for r in held])
             ids = own.gather(places)
             yield [

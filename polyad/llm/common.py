@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -29,6 +31,7 @@ def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     fields = df.sparkSession.createDataFrame([], schema).schema
     arrow = _arrow_schema(fields)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in function(rows(batches)):
             yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, arrow.types, strict=True)], schema=arrow)
@@ -36,6 +39,20 @@ def map_batches(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(run, fields)
 
 
+def tidy(function: Callable) -> Callable:
+    """A task's function that hands freed memory back at its end, as a Python worker goes on to other tasks and stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # only the GNU library has it
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def rows(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple]:
     """Rows of Arrow batches; only ``step`` rows at a time become Python objects."""
     for batch in batches:

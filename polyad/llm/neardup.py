@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from polyad.session import stage
 
-from .common import by_size
+from .common import by_size, tidy
 from .words import Tokens, mixed
 
 SHINGLE = 5
@@ -85,10 +85,11 @@ def signatures(docs: DataFrame, tables: int = TABLES, rows: int = ROWS, size: in
     """(key, doc_id, n, a, b, bands, sketch, parity): a set's size, 128-bit name, bands of both collections, a 64-bit sketch and its parities."""
     count = 2 * tables * rows
 
+    @tidy
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, offsets = _constants(count, 1) | np.uint64(1), _constants(count, 2)
         salts = _constants(2 * tables, 3)
-        for block in by_size(batches, "text"):
+        for block in by_size(batches, "text", 4 << 20):
             found, ends = shingle_sets(block.column("text"), size)
             sizes = np.diff(ends)
             full = sizes > 0
@@ -141,12 +142,13 @@ def _needed_sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
         field[r.w] = r.bits
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
+    @tidy
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value.view(np.uint8), bitorder="little")
         for batch in batches:
             at = batch.column("place").to_numpy(zero_copy_only=False)
             chosen = batch.filter(pa.array(bits[at].astype(bool)))
-            for block in by_size([chosen], "text"):
+            for block in by_size([chosen], "text", 4 << 20):
                 found, ends = shingle_sets(block.column("text"), size)
                 with np.errstate(over="ignore"):
                     names = [np.zeros(len(ends) - 1, np.uint64) for _ in range(2)]
@@ -167,6 +169,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     together = rows.join(sets, "node").select("y", "piece", "other", "node", "shingles")
     count = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = np.zeros(0, np.uint64)
         for batch in batches:

@@ -35,7 +35,11 @@ class Tokens:
         self.codes = np.full(len(self.doc), self.end, np.int64)
         self.codes[np.arange(len(at)) + at] = coded.indices.to_numpy(zero_copy_only=False)
         self.before = np.concatenate([[self.end], self.codes[:-1]])
-        self.hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in [*map(str.encode, self.words.to_pylist()), b""]), np.uint64, self.end + 1)
+        # cut from the buffer, which takes a fraction of the time of making a string of each word
+        _, offsets, data = self.words.buffers()
+        ends = np.frombuffer(offsets, np.int32, self.end + 1, 4 * self.words.offset).tolist() if self.end else [0]
+        whole = data.to_pybytes() if data is not None else b""
+        self.hashes = np.fromiter((xxhash.xxh64_intdigest(whole[i:j]) for i, j in zip([*ends[:-1], 0], [*ends[1:], 0])), np.uint64, self.end + 1)
 
     def pairs(self, inverse: bool = False) -> tuple:
         """Distinct (context, word) numbers, and their counts or every token's place among them."""
