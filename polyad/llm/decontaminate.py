@@ -1,15 +1,20 @@
-"""Benchmark decontamination: rare seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-A first pass over the documents counts in how many each n-gram of the benchmark
-occurs. An item's seeds are its rarer n-grams: those no more frequent than its
-median one, so at least half of its n-grams, or than ``always`` documents. A second
-pass joins documents with items by seeds and aligns each place so found with the
-item, word by word. The score is that of the best local alignment (a match counts
-1, a mismatch or gap -0.5) over the item's number of words.
+Every n-gram of an item is a seed, however many documents it occurs in: a document
+and an item that share one are compared, over the whole document. The score is that
+of the best local alignment (a match counts 1, a mismatch or gap -0.5) over the
+item's number of words.
+
+Most pairs are settled by a bound. Within an alignment, a document's word that the
+item does not have costs 0.5, so no alignment scores more than the largest sum over a
+run of words with 1 for each word of the item and -0.5 for others. The start of a best
+alignment has a positive score too, so an alignment lies in one stretch on which these
+sums stay positive. Only stretches that reach the wanted score are aligned, and none
+that could is left out.
 
 The benchmark is sent to the workers in chunks of at most ``chunk`` words (a longer
-item is a chunk), each with its own two passes, so a large benchmark needs more
-passes and no more memory. Documents are never shuffled.
+item is a chunk), each with its own pass, so a large benchmark needs more passes and
+no more memory. Documents are never shuffled.
 
 Edge cases: words are runs of ASCII letters and digits, A-Z lower-cased, and of all
 other characters beyond ASCII. An item with fewer words than a seed is one seed; an
@@ -31,8 +36,9 @@ from .common import blocks, map_batches
 
 SEED = 3  # words of a seed; three word numbers fit into one code
 LEAST = 0.4  # score from which a place counts as a copy
-ALWAYS = 16  # documents in which a seed may occur, however rare the item's others are
+ALWAYS = 16  # no longer used, see find()
 CHUNK = 1_000_000  # words of the benchmark on a worker at a time
+ENTRIES = 1 << 20  # of seeds in items that are listed at a time
 _WORD_BYTES = bytes(b + 32 if 65 <= b < 91 else b if 48 <= b < 58 or 97 <= b < 123 or b >= 128 else 32 for b in range(256))
 
 
@@ -79,11 +85,6 @@ class Items:
             whole &= part > 0
         return np.where(whole, out, 0)
 
-    def keep(self, rare: np.ndarray) -> None:
-        """Only the n-grams marked, in the order of ``code``."""
-        self.code, self.item, self.at = self.code[rare], self.item[rare], self.at[rare]
-        self._index()
-
     def numbered(self, held: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
         """A block's words by number, 0 for words in no item, with a 0 after each text; and where each text begins."""
         flat: list[bytes] = []
@@ -135,26 +136,32 @@ def align(item: np.ndarray, words: np.ndarray) -> tuple[float, int, int]:
     return best, *where
 
 
-def _regions(items: Items, words: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """(document, item, first word, last word) around places with seeds: an item's seeds on near diagonals make one region."""
+def _pairs(items: Items, words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(document, item) for each two that share a seed, once."""
     places, which = items.hits(words)
-    if not len(places):
-        return []
+    cells = np.unique((np.searchsorted(starts, places, side="right") - 1) * max(len(items.distinct), 1) + which)
+    doc, which = np.divmod(cells, max(len(items.distinct), 1))
     times = items.ends[which] - items.starts[which]
-    entry = np.repeat(items.starts[which] - np.cumsum(times) + times, times) + np.arange(times.sum())
-    place = np.repeat(places, times)
-    item, begin = items.item[entry], place - items.at[entry]
-    doc = np.searchsorted(starts, place, side="right") - 1
-    order = np.lexsort((begin, item, doc))
-    doc, item, begin = doc[order], item[order], begin[order]
-    length = np.array([len(w) for w in items.words])[item]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > length[1:])
-    first = np.flatnonzero(new)
-    last = np.append(first[1:], len(doc)) - 1
-    low = np.maximum(begin[first] - length[first] // 2, starts[doc[first]])
-    high = np.minimum(begin[last] + length[first] * 3 // 2 + 1, starts[doc[first] + 1] - 1)
-    return list(zip(doc[first].tolist(), item[first].tolist(), low.tolist(), high.tolist(), strict=True))
+    sums = np.cumsum(times)
+    first = 0
+    while first < len(doc):  # whole documents, of about ENTRIES seeds in items
+        last = int(np.searchsorted(sums, sums[first] - times[first] + ENTRIES, side="right"))
+        last = int(np.searchsorted(doc, doc[max(last - 1, first)], side="right"))
+        n = times[first:last]
+        entry = np.repeat(items.starts[which[first:last]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        found = np.unique(np.repeat(doc[first:last], n) * len(items.words) + items.item[entry])
+        yield from zip((found // len(items.words)).tolist(), (found % len(items.words)).tolist(), strict=True)
+        first = last
+
+
+def _stretches(own: np.ndarray, need: float) -> list[tuple[int, int]]:
+    """Where an alignment may score ``need``, from which of a document's words are the item's."""
+    sums = np.concatenate([[0.0], np.cumsum(np.where(own, 1.0, -0.5))])
+    height = sums - np.minimum.accumulate(sums)
+    cuts = np.flatnonzero(height == 0)
+    good = np.flatnonzero(np.maximum.reduceat(height, cuts) >= need)
+    ends = np.append(cuts[1:], len(own))
+    return list(zip(cuts[good].tolist(), ends[good].tolist(), strict=True))
 
 
 def _chunks(items: DataFrame, chunk: int) -> list[DataFrame]:
@@ -165,7 +172,10 @@ def _chunks(items: DataFrame, chunk: int) -> list[DataFrame]:
 
 
 def find(docs: DataFrame, benchmark: DataFrame, size: int = SEED, least: float = LEAST, always: int = ALWAYS, chunk: int = CHUNK) -> DataFrame:
-    """``doc_id, item_id, score, first_word, words``: every document with a place like an item, the best place of each pair."""
+    """``doc_id, item_id, score, first_word, words``: every document with a place like an item, the best place of each pair.
+
+    ``always`` was the number of documents from which a seed was left out. None is now, so it changes nothing.
+    """
     schema = "doc_id long, item_id long, score double, first_word long, words long"
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -174,65 +184,40 @@ def find(docs: DataFrame, benchmark: DataFrame, size: int = SEED, least: float =
         texts = sorted((tuple(r) for r in part.collect()), key=lambda r: (r[0] is not None, r))
         items = Items(texts, size)
         if len(items.code):
-            out = out.unionByName(_found(docs, texts, _rare(docs, texts, items, size, always), size, least, schema))
+            out = out.unionByName(_found(docs, texts, size, least, schema))
     return out
 
 
-def _rare(docs: DataFrame, texts: list, items: Items, size: int, always: int) -> np.ndarray:
-    """Which n-grams are seeds."""
+def _found(docs: DataFrame, texts: list, size: int, least: float, schema: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(texts)
 
-    def count(source: Iterator[tuple]) -> Iterator[list]:
-        own = Items(shared.value, size)
-        for held in blocks(source, 1):
-            words, starts = own.numbered(held)
-            places, which = own.hits(words)
-            doc = np.searchsorted(starts, places, side="right")
-            cells = np.unique(which * (len(starts) + 1) + doc)
-            codes, n = np.unique(cells // (len(starts) + 1), return_counts=True)
-            yield [codes, n]
-
-    counted = map_batches(docs, count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()  # a row for an n-gram of the chunk
-    found = np.zeros(len(items.distinct), np.int64)
-    for r in counted:
-        found[r.seed] = r.n
-    of = found[np.searchsorted(items.distinct, items.code)]
-    middle = _medians(of, items.item, len(items.words))
-    return of <= np.maximum(middle[items.item], always)
-
-
-def _medians(values: np.ndarray, groups: np.ndarray, count: int) -> np.ndarray:
-    """The upper median of each group's values."""
-    order = np.lexsort((values, groups))
-    sizes = np.bincount(groups, minlength=count)
-    middle = np.cumsum(sizes) - sizes + sizes // 2
-    return values[order][np.minimum(middle, len(values) - 1)]
-
-
-def _found(docs: DataFrame, texts: list, rare: np.ndarray, size: int, least: float, schema: str) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast((texts, rare))
-
     def run(source: Iterator[tuple]) -> Iterator[list]:
-        texts, rare = shared.value
-        items = Items(texts, size)
-        items.keep(rare)
+        items = Items(shared.value, size)
         known = [np.unique(w, return_counts=True) for w in items.words]
+        mark = np.zeros(len(items.vocabulary) + 1, bool)
         for held in blocks(source, 1):
             words, starts = items.numbered(held)
             best: dict[tuple[int, int], tuple] = {}
-            for doc, item, low, high in _regions(items, words, starts):
+            for doc, item in _pairs(items, words, starts):
                 wanted = items.words[item]
-                span = words[low:high]
                 need = least * len(wanted)
-                there, n = np.unique(span[span > 0], return_counts=True)
+                whole = words[starts[doc] : starts[doc + 1] - 1]
                 mine, times = known[item]
-                spot = np.minimum(np.searchsorted(there, mine), len(there) - 1)
-                if np.minimum(np.where(there[spot] == mine, n[spot], 0), times).sum() < need:  # fewer matches than the score needs
+                mark[mine] = True
+                own = mark[whole]
+                mark[mine] = False
+                if np.count_nonzero(own) < need:
                     continue
-                score, start, end = align(wanted, span)
-                if score >= need:
-                    row = (score / len(wanted), -(low + start - int(starts[doc])), end - start)
-                    best[doc, item] = max(best.get((doc, item), row), row)
+                for low, high in _stretches(own, need):
+                    span = whole[low:high]
+                    there, n = np.unique(span[span > 0], return_counts=True)
+                    spot = np.minimum(np.searchsorted(there, mine), len(there) - 1)
+                    if np.minimum(np.where(there[spot] == mine, n[spot], 0), times).sum() < need:  # fewer matches than the score needs
+                        continue
+                    score, start, end = align(wanted, span)
+                    if score >= need:
+                        row = (score / len(wanted), -(low + start), end - start)
+                        best[doc, item] = max(best.get((doc, item), row), row)
             if best:
                 yield [[held[d][0] for d, _ in best], [items.ids[i] for _, i in best], [r[0] for r in best.values()], [-r[1] for r in best.values()], [r[2] for r in best.values()]]
 

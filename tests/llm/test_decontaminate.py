@@ -62,6 +62,21 @@ def test_frequent_seeds_do_not_hide_a_copy(spark, docs_of):
     assert dc.find(docs_of(rows), benchmark, always=0).count() == 60
 
 
+def test_a_common_edited_or_partial_copy_is_found(spark, docs_of):
+    item = [f"q{i}" for i in range(40)]
+    edited = lambda d: " ".join(f"own{d}x{i}" if i % 4 == 3 else w for i, w in enumerate(item))
+    texts = {"edited": lambda d: edited(d), "part": lambda d: " ".join([f"a{d}", *item[:18], f"b{d}"]), "apart": lambda d: " ".join([*item[:14], *(f"z{d}x{i}" for i in range(24)), *item[26:]])}
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    for n in (17, 100, 1000):
+        rows = [(d * 10 + k, make(d)) for d in range(n) for k, make in enumerate((texts["edited"], texts["part"]))]
+        found = {r.doc_id: r.score for r in dc.find(docs_of(rows), benchmark).collect()}
+        assert len(found) == 2 * n
+        want = brute(rows[:2], [(1, " ".join(item))], dc.LEAST)
+        assert all(abs(found[d * 10 + k] - want[k, 1]) < 1e-9 for d in range(n) for k in range(2))
+    rows = [(d, texts["apart"](d)) for d in range(20)]
+    assert {(r.doc_id, r.item_id) for r in dc.find(docs_of(rows), benchmark).collect()} == brute(rows, [(1, " ".join(item))], dc.LEAST).keys()
+
+
 def test_empty_tables(spark, docs_of):
     _, _, benchmark = case(spark)
     assert dc.find(docs_of([]).limit(0), benchmark).count() == 0
