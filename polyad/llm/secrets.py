@@ -7,6 +7,10 @@ widely; one that stays with its owners and looks random is a live credential. Th
 base kinds are always reported; candidates of the further kinds are reported if
 they are live.
 
+A private key's span is its whole block, from the header to the END line, or without
+one to the end of the base64 lines, and its value is the key: what the header says is
+the same for all keys of a type. A header without a key is its own value.
+
 Offsets count code points, ends are exclusive. Matches of a kind are leftmost and
 do not overlap; spans of different kinds may.
 
@@ -32,6 +36,14 @@ KINDS = {
     "block": (r"-----BEGIN [A-Z ]{0,32}PRIVATE KEY-----", 0, 1),
     "opaque": (r"[A-Za-z0-9+/_-]{24,}", 0, 24),
 }
+# of a block: group 1 is what follows the header, up to the next line of dashes if that is the END, or else lines of base64
+_GAP, _LINE = r"(?:\s|\\[nr])", r"[A-Za-z0-9+/=]"
+BLOCK = (
+    KINDS["block"][0]
+    + r"((?:[^-]++|-(?!----))*+(?=-----END [A-Z ]{0,32}PRIVATE KEY-----)"
+    + rf"|(?:(?:{_GAP}++(?:Proc-Type|DEK-Info|Version|Comment): [^\r\n]*+)*+(?:{_GAP}*+{_LINE}{{16,}}+)++(?:{_GAP}++{_LINE}{{1,15}}+(?=[ \t]*+(?:[\r\n]|\\[nr]|\z)))?+)?+)"
+    + r"(?:-----END [A-Z ]{0,32}PRIVATE KEY-----)?+"
+)
 BASE = ("assign", "access", "hex")
 MOST_OWNERS = 2
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
@@ -44,7 +56,12 @@ def _spans(text: Column, kind: str) -> Column:
     Splitting a text at its matches gives the gaps between them, so starts are sums of lengths.
     """
     pattern, group, least = KINDS[kind]
-    found = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("whole"), F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value"))
+    if kind == "block":
+        pattern, group = BLOCK, 1
+    whole, value = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (0, group))
+    if kind == "block":
+        value = F.zip_with(value, whole, _key)
+    found = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), value.alias("value"))
     empty = F.expr("cast(array() AS array<struct<kind:int, start:int, stop:int, value:string>>)")
 
     def add(state: Column, x: Column) -> Column:
@@ -57,6 +74,12 @@ def _spans(text: Column, kind: str) -> Column:
     return F.aggregate(found, F.struct(F.lit(0).alias("at"), empty.alias("out")), add, lambda s: s["out"])
 
 
+def _key(body: Column, whole: Column) -> Column:
+    """A block's key without line ends, quotes and the like, so that its layout does not matter."""
+    bare = F.regexp_replace(body, r"\\[nr]|[^A-Za-z0-9+/=]", "")
+    return F.when(F.length(bare) > 0, bare).otherwise(whole)
+
+
 def candidates(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
     """(key, doc_id, print, owner, repository, found): every row with its spans of all kinds; a single pattern rules out most texts first."""
     text = F.coalesce("text", F.lit(""))

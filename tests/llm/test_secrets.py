@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import re
 
@@ -47,6 +48,37 @@ def test_ownership_tells_examples_from_live_credentials(docs_of):
     assert all(found[10 + i].spans == f"prefixed:5:{5 + len(live)}" and found[10 + i].n_live == 1 for i in range(4))
 
 
+def pem(i, end=True, newline="\n"):
+    """A key of its own for every number, in lines of 64 and a short one."""
+    key = base64.b64encode(b"".join(hashlib.sha256(f"{i}.{k}".encode()).digest() for k in range(5)) + b"12345").decode()
+    lines = ["-----BEGIN RSA PRIVATE KEY-----", *(key[k : k + 64] for k in range(0, len(key), 64))]
+    return newline.join([*lines, "-----END RSA PRIVATE KEY-----"] if end else lines)
+
+
+def test_key_blocks_are_owned_by_their_key_and_hidden_whole(docs_of):
+    copied = pem(99)
+    keys = {i: pem(i, end=i % 3 != 1, newline="\\n" if i % 3 == 2 else "\n") for i in range(9)}
+    keys[20] = pem(20).replace("KEY-----\n", "KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,AB12\n\n", 1)
+    rows = [(i, f"mine\n{k}\nplain words after", "en", f"owner{i}") for i, k in keys.items()]
+    rows += [(50 + i, f"see {copied if i % 2 else pem(99, newline=chr(13) + chr(10))} here", "en", f"owner{i}") for i in range(4)]
+    rows += [(60, f"{pem(60)}\n{pem(61, end=False)}\n{pem(62)}", "en", "owner0")]
+    source = F.col("source")
+    found = {r.doc_id: r.spans for r in secrets.digest(docs_of(rows), source, source).collect()}
+    assert all(f"block:5:{5 + len(k)}" in found[i].split(",") for i, k in keys.items())
+    assert not any("block" in found[50 + i] for i in range(4))
+    assert found[60].count("block") == 3
+    hidden = {r.doc_id: r.text for r in secrets.hide(docs_of(rows), source, source).collect()}
+    assert all(hidden[i] == "mine\n[SECRET]\nplain words after" for i in keys)
+    assert hidden[60] == "[SECRET]\n[SECRET]\n[SECRET]"
+
+
+def test_long_texts_with_headers_and_dashes(docs_of):
+    header = "-----BEGIN PRIVATE KEY-----"
+    rows = [(1, f"{header} " + "word - " * 100_000, "en", "a"), (2, f"{header}\n" + ("A1b2" * 16 + "\n") * 20_000, "en", "b"), (3, f"{header} tail", "en", "c")]
+    hidden = {r.doc_id: r.text for r in secrets.hide(docs_of(rows), F.col("source"), F.col("source")).collect()}
+    assert hidden == {1: rows[0][1].replace(header, "[SECRET]"), 2: "[SECRET]\n", 3: "[SECRET] tail"}
+
+
 def test_hidden_spans_and_kept_columns(docs_of):
     rows = [(1, "a password=abcdef1 b 漢 token = 'zzzzzzz' c", "en", "s"), (2, None, None, None), (3, "clean", "en", "s"), (1, "a password=abcdef1 b 漢 token = 'zzzzzzz' c", "en", "s"), (4, "password=0123456789abcdef01234567", "en", "s"), (None, "secret=abcdefg", "en", "s")]
     docs = docs_of(rows)
