@@ -1,8 +1,9 @@
 """A corpus from raw documents to token ids, one stage after the other.
 
-Every stage but the last returns rows with the columns of its input. Rows are
-told apart by ``doc_id``; rows that repeat one share its fate. Temporary columns
-are prefixed, so a table may have further columns of any common name.
+Every stage but the last returns rows with the columns of its input. A stage that
+drops rows writes its input with a key for every row and decides by that key, so rows
+without a doc_id, or with the same one and other texts, do not share a fate. Temporary
+columns are prefixed, so a table may have further columns of any common name.
 """
 
 from __future__ import annotations
@@ -12,30 +13,52 @@ from pyspark.sql import functions as F
 
 from polyad.llm import bpe, decontaminate, language, neardup, secrets
 from polyad.llm.common import read, remainder
+from polyad.session import stage
 
 OWN = "_polyad_"
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not among those of ``rejected``, NULL being an id like others."""
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key for every row, written so that all readings see the same keys."""
+    return stage(docs.withColumn(OWN + "key", F.monotonically_increasing_id()), "keyed")
+
+
+def _by_key(keyed: DataFrame) -> DataFrame:
+    """The texts, with the row's key as doc_id."""
+    return keyed.select(F.col(OWN + "key").alias("doc_id"), "text")
+
+
+def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose key is not among the doc_ids of ``rejected``."""
     ids = rejected.select(F.col("doc_id").alias(OWN + "id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col(OWN + "id")), "left_anti")
+    return keyed.join(ids, F.col(OWN + "key") == F.col(OWN + "id"), "left_anti").drop(OWN + "key")
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language is found go. Profiles are learned from the marks of the stage's own input."""
-    found = language.identify(docs, language.profiles(docs.where(remainder("doc_id", 4) != 2)))
-    return _without(docs, found.where(F.col("lang_pred") == language.UNKNOWN))
+    keyed = _keyed(docs)
+    found = language.identify(_by_key(keyed), language.profiles(keyed.where(remainder("doc_id", 4) != 2)))
+    return _without(keyed, found.where(F.col("lang_pred") == language.UNKNOWN))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest doc_id stays."""
-    return _without(docs, neardup.near_duplicates(docs).where(~F.col("kept")))
+    """Of each group of near duplicates, the document with the smallest doc_id stays, one without a doc_id only if no other has one.
+
+    Rows that repeat both its doc_id and its text are the same document and stay with it.
+    """
+    keyed = _keyed(docs)
+    names = keyed.select(F.col(OWN + "key").alias("doc_id"), F.col("doc_id").alias("name"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
+    members = stage(neardup.near_duplicates(_by_key(keyed)).select("doc_id", "component_id").join(names, "doc_id"), "members")
+    first = F.min(F.struct(F.col("name").isNull(), "name", "doc_id", "print"))
+    groups = members.groupBy("component_id").agg(F.count("*").alias("n"), first.alias("first")).where("n > 1").select("component_id", "first")
+    same = "doc_id = first.doc_id OR coalesce(name = first.name AND print = first.print, false)"
+    return _without(keyed, members.join(groups, "component_id").where(f"NOT ({same})").select("doc_id"))
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage like a benchmark item go."""
-    return _without(docs, decontaminate.find(docs, read(spark, sf_dir, "benchmark")))
+    keyed = _keyed(docs)
+    return _without(keyed, decontaminate.find(_by_key(keyed), read(spark, sf_dir, "benchmark")))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,6 +87,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for _, step in STAGES:
+        docs = step(spark, docs, sf_dir)
     return docs

@@ -82,6 +82,20 @@ def test_stages_take_null_ids_repeats_and_clashing_columns(spark, docs_of):
     assert docs.where("doc_id IS NULL").count() == 1
 
 
+def test_decisions_concern_single_rows(spark, docs_of, prose):
+    left = lambda stage, rows: sorted(((r.doc_id, r.text) for r in stage(spark, docs_of(rows), SF).collect()), key=str)
+    clean, other, text = prose(1, 40), prose(2, 40), prose(3, 40)
+    rest = [(None, clean), (7, other)]
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 100").orderBy("item_id").head().text
+    assert left(corpus_pipeline.identify, [*rest, (None, "12 !!"), (7, "34 ??"), (None, None)]) == sorted(rest, key=str)
+    assert left(corpus_pipeline.drop_benchmark_copies, [*rest, (None, item), (7, item)]) == sorted(rest, key=str)
+    dedup = lambda rows: left(corpus_pipeline.deduplicate, [*rest, *rows])
+    assert dedup([(None, text), (9, text + " more"), (8, text)]) == sorted([*rest, (8, text)], key=str)
+    assert dedup([(None, text)] * 3) == sorted([*rest, (None, text)], key=str)
+    assert len(dedup([(None, text), (None, text + " more")])) == len(dedup([(9, text), (9, text + " more")])) == 3
+    assert dedup([(9, text), (9, text)]) == sorted([*rest, (9, text), (9, text)], key=str)
+
+
 def test_language_is_right_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     table = language.profiles(docs.where(remainder("doc_id", 4) != 2))
