@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, fingerprint, language, lm, neardup, oracle, quality, secrets, tokencount
+from . import bpe, chat, decontaminate, fim, fingerprint, language, licenses, lm, merkle, neardup, oracle, quality, secrets, tokencount
 from .common import read, remainder
 
 
@@ -69,14 +69,32 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(read(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digest(read(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    even = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    tampered = F.when(even, F.replace(F.col("text"), F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    return merkle.manifest(merkle.leaves(docs, changed={"text": tampered}))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_lm_scores, op2_secrets, op3_language, op4_token_counts, op5_near_duplicates, op6_byte_bpe, op7_quality, op8_fingerprints, op9_chat_formatting, op10_decontamination,
+        op11_license_scans, op12_fill_in_middle, op13_merkle_manifest,
     )
 }
 ORACLE: dict[str, str] = {
     "op2_secrets": oracle.secrets(),
     "op5_near_duplicates": oracle.near_duplicates(),
     "op9_chat_formatting": oracle.chat_formatting(PROBE),
+    "op12_fill_in_middle": oracle.fill_in_middle(),
+    "op13_merkle_manifest": oracle.merkle_manifest(),
 }
