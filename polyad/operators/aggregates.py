@@ -6,12 +6,13 @@ All of them reduce inside map tasks first; none gathers a group's rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from polyad.functions.values import correlation, percent_text, round_even
+from polyad.functions.values import as_column, correlation, percent_text, round_even
 from polyad.operators.joins import key_join
 from polyad.session import stage
 
@@ -143,10 +144,10 @@ def six_number(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def frequency(df: DataFrame, columns: Sequence[str], include_null: bool = True) -> DataFrame:
     """Counts per level; the NULL level is optional."""
-    counted = df.select(*columns)
+    counted = df.select(*[as_column(c) for c in columns])
     if not include_null:
-        counted = counted.dropna(subset=list(columns))
-    return counted.groupBy(*columns).agg(F.count("*").alias("n"))
+        counted = counted.where(reduce(lambda a, b: a & b, [as_column(c).isNotNull() for c in columns]))
+    return counted.groupBy(*[as_column(c) for c in columns]).agg(F.count("*").alias("n"))
 
 
 def missing_profile(df: DataFrame, top: int = 20) -> DataFrame:
@@ -160,7 +161,7 @@ def missing_profile(df: DataFrame, top: int = 20) -> DataFrame:
                 F.struct(
                     F.lit(i).alias("position"),
                     F.lit(c).alias("variable"),
-                    F.try_divide(F.count_if(F.col(c).isNull()) * 100.0, F.count("*")).alias("share"),
+                    F.try_divide(F.count_if(as_column(c).isNull()) * 100.0, F.count("*")).alias("share"),
                 )
                 for i, c in enumerate(df.columns)
             ]
@@ -176,7 +177,7 @@ def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     def row(name: str) -> Column:
         found = name in present
-        missing = F.count_if(F.col(name).isNull()) if found else F.lit(None).cast("bigint")
+        missing = F.count_if(as_column(name).isNull()) if found else F.lit(None).cast("bigint")
         return F.struct(F.lit(name).alias("variable"), F.lit(found).alias("found"), missing.alias("missing"))
 
     counted = df.agg(F.count("*").alias("total"), F.array(*[row(c) for c in columns]).alias("rows"))
@@ -189,9 +190,9 @@ def coverage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def panel_extent(df: DataFrame, unit: str, time: str) -> DataFrame:
     return df.agg(
         F.count("*").alias("n_rows"),
-        F.count_distinct(unit).alias("n_units"),
-        F.min(time).alias("first_time"),
-        F.max(time).alias("last_time"),
+        F.count_distinct(as_column(unit)).alias("n_units"),
+        F.min(as_column(time)).alias("first_time"),
+        F.max(as_column(time)).alias("last_time"),
     )
 
 
@@ -223,7 +224,7 @@ def dispersion(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     values = df.agg(
         F.array(
             *[
-                F.struct(F.lit(c).alias("variable"), F.stddev_samp(c).alias("sd"), (F.max(c) - F.min(c)).alias("range"))
+                F.struct(F.lit(c).alias("variable"), F.stddev_samp(as_column(c)).alias("sd"), (F.max(as_column(c)) - F.min(as_column(c))).alias("range"))
                 for c in columns
             ]
         ).alias("rows")
@@ -233,4 +234,4 @@ def dispersion(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def group_summary(df: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Mean, sample sd and row count per group; NULL is a group of its own."""
-    return df.groupBy(*by).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("sd"), F.count("*").alias("n"))
+    return df.groupBy(*[as_column(c) for c in by]).agg(F.avg(as_column(value)).alias("mean"), F.stddev_samp(as_column(value)).alias("sd"), F.count("*").alias("n"))

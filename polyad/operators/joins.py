@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from polyad.functions.values import as_column
+from polyad.operators.intervals import covered
 from polyad.operators.schema import suffix_columns
 
 Keys = Sequence[str] | Mapping[str, str]
 
 _RIGHT_KEY = "__right_key_{}"
 _SALT = "__salt"
-NULL_SLOTS = 16
 
 
 def key_pairs(on: Keys) -> list[tuple[str, str]]:
@@ -37,6 +37,7 @@ def key_join(
     null_safe: bool = True,
     collisions: str = "error",
     salt: int = 0,
+    null_slots: int = 0,
 ) -> DataFrame:
     """Equi join that returns the left columns, then the right non-key columns.
 
@@ -44,8 +45,9 @@ def key_join(
     ``null_safe`` a NULL key matches a NULL key. Non-key names found on both
     sides raise, unless ``collisions="keep_left"`` drops the right ones.
     ``salt=n`` (inner and left joins) deals each left row to one of n slots by a
-    hash of its values and copies the right side to all n. Left rows with a NULL
-    key are always dealt to slots like that; only right rows with one are copied.
+    hash of its values and copies the right side to all n. ``null_slots=n`` does so for
+    left rows with a NULL key alone, and only right rows with one are copied: for
+    tables where NULL keys are many and adaptive execution cannot split them.
     """
     pairs = key_pairs(on)
     right_keys = [r for _, r in pairs]
@@ -56,44 +58,48 @@ def key_join(
     payload = [c for c in payload if c not in clash]
 
     right = right.select(
-        *[F.col(r).alias(_RIGHT_KEY.format(i)) for i, r in enumerate(right_keys)], *[F.col(c) for c in payload]
+        *[as_column(r).alias(_RIGHT_KEY.format(i)) for i, r in enumerate(right_keys)], *[as_column(c) for c in payload]
     )
     left_columns = left.columns
     conditions: list[Column] = []
     for i, (name, _) in enumerate(pairs):
-        l_key, r_key = F.col(name), F.col(_RIGHT_KEY.format(i))
+        l_key, r_key = as_column(name), F.col(_RIGHT_KEY.format(i))
         conditions.append(l_key.eqNullSafe(r_key) if null_safe else l_key == r_key)
     if salt:
         if how not in ("left", "inner"):
             raise ValueError("salted joins are left or inner joins")
-        slot = F.pmod(F.xxhash64(*left_columns), F.lit(salt)).cast("int")
+        slot = F.pmod(F.xxhash64(*[as_column(c) for c in left_columns]), F.lit(salt)).cast("int")
         left = left.withColumn(_SALT, slot)
         right = right.withColumn("__right" + _SALT, F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         conditions.append(F.col(_SALT) == F.col("__right" + _SALT))
 
-    elif how in ("left", "inner"):
-        left, right, same_slot = _spread_nulls(left, right, [l for l, _ in pairs], len(pairs), null_safe)
+    elif null_slots:
+        if how not in ("left", "inner"):
+            raise ValueError("NULL keys are dealt to slots in left or inner joins")
+        left, right, same_slot = _spread_nulls(left, right, [l for l, _ in pairs], len(pairs), null_safe, null_slots)
         conditions += same_slot
 
     joined = left.join(right, reduce(lambda a, b: a & b, conditions), how)
-    keys = {name: F.col(name) for name, _ in pairs}
+    keys = {name: as_column(name) for name, _ in pairs}
     if how in ("right", "full", "outer"):
-        keys = {name: F.coalesce(name, _RIGHT_KEY.format(i)).alias(name) for i, (name, _) in enumerate(pairs)}
-    return joined.select(*[keys.get(c, F.col(c)) for c in left_columns], *[F.col(c) for c in payload])
+        keys = {name: F.coalesce(as_column(name), _RIGHT_KEY.format(i)).alias(name) for i, (name, _) in enumerate(pairs)}
+    if how in ("left_anti", "left_semi", "anti", "semi"):
+        return joined
+    return joined.select(*[keys.get(c, as_column(c)) for c in left_columns], *[as_column(c) for c in payload])
 
 
 def _spread_nulls(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], count: int, null_safe: bool
+    left: DataFrame, right: DataFrame, keys: Sequence[str], count: int, null_safe: bool, slots: int
 ) -> tuple[DataFrame, DataFrame, list[Column]]:
     """Deal left rows with a NULL key to slots, so that they do not meet in one task."""
     nullable = {f.name for f in left.schema.fields if f.nullable}
-    loose = [F.col(k).isNull() for k in keys if k in nullable]
+    loose = [as_column(k).isNull() for k in keys if k in nullable]
     if not loose:
         return left, right, []
     hashed = [f.name for f in left.schema.fields if not isinstance(f.dataType, T.MapType)]
-    slot = F.pmod(F.xxhash64(*[as_column(c) for c in hashed]), F.lit(NULL_SLOTS)).cast("int")
+    slot = F.pmod(F.xxhash64(*[as_column(c) for c in hashed]), F.lit(slots)).cast("int")
     left = left.withColumn(_SALT, F.when(reduce(lambda a, b: a | b, loose), slot).otherwise(0))
-    one, all_slots = F.array(F.lit(0)), F.sequence(F.lit(0), F.lit(NULL_SLOTS - 1))
+    one, all_slots = F.array(F.lit(0)), F.sequence(F.lit(0), F.lit(slots - 1))
     if null_safe:
         none = reduce(lambda a, b: a | b, [F.col(_RIGHT_KEY.format(i)).isNull() for i in range(count)])
         right = right.withColumn("__right" + _SALT, F.explode(F.when(none, all_slots).otherwise(one)))
@@ -114,10 +120,10 @@ def events_join(left: DataFrame, events: DataFrame, on: Keys) -> DataFrame:
     to_left = {r: l for l, r in pairs}
     keys = [l for l, _ in pairs]
     payload = [c for c in events.columns if c not in to_left]
-    renamed = events.select(*[F.col(r).alias(l) for r, l in to_left.items()], *payload)
+    renamed = events.select(*[as_column(r).alias(l) for r, l in to_left.items()], *[as_column(c) for c in payload])
     matched = key_join(renamed, left, keys, "inner")
-    alone = key_join(left, renamed.select(*keys).distinct(), keys, "left_anti")
-    return matched.select(*left.columns, *payload).unionByName(alone, allowMissingColumns=True)
+    alone = key_join(left, renamed.select(*[as_column(k) for k in keys]).distinct(), keys, "left_anti")
+    return matched.select(*[as_column(c) for c in [*left.columns, *payload]]).unionByName(alone, allowMissingColumns=True)
 
 
 def coerce_keys(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
@@ -129,7 +135,7 @@ def coerce_keys(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
         target = left_types[l_name]
         if right_types[r_name] == target:
             continue
-        column = F.col(r_name)
+        column = as_column(r_name)
         if isinstance(right_types[r_name], T.StringType) and isinstance(target, T.IntegralType):
             column = column.try_cast("double")
         casts[r_name] = column.try_cast(target)
@@ -171,22 +177,10 @@ def interval_member(
 ) -> DataFrame:
     """0/1 flag: is the unit inside one of its roster intervals at that time?
 
-    The roster is unrolled to distinct unit-times inside the panel's own time
-    range, at the price of a second scan of one column, so that open ends stay
-    short and several intervals of one unit cannot multiply panel rows.
+    Several intervals of one unit never multiply panel rows, and open ends (NULL or
+    a far year) cost no more than others: see :mod:`polyad.operators.intervals`.
     """
-    reach = panel.agg(F.struct(F.min(time).alias("lo"), F.max(time).alias("hi"))).scalar()
-    first = F.greatest(F.col(start), reach["lo"])
-    last = F.least(F.col(end), reach["hi"])
-    unrolled = (
-        roster.select(F.col(unit), first.alias("first"), last.alias("last"))
-        .where(F.col("first") <= F.col("last"))
-        .select(unit, F.explode(F.sequence("first", "last")).alias(time))
-        .distinct()
-        .withColumn("__inside", F.lit(1))
-    )
-    joined = key_join(panel, unrolled, [unit, time], "left", null_safe=False)
-    return joined.withColumn(into, F.coalesce("__inside", F.lit(0))).drop("__inside")
+    return covered(panel, roster, [unit], time, start, end, into)
 
 
 # -- cardinality --------------------------------------------------------------
@@ -194,14 +188,14 @@ def interval_member(
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row counts; empty when unique."""
-    return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+    return df.groupBy(*[as_column(k) for k in keys]).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
 def fan_out(left: DataFrame, right: DataFrame, on: Keys) -> DataFrame:
     """One row: how many left rows a join would match, and how far it would multiply them."""
     pairs = key_pairs(on)
-    matches = right.groupBy(*[F.col(r).alias(l) for l, r in pairs]).agg(F.count("*").alias("matches"))
-    counted = key_join(left.select(*[l for l, _ in pairs]), matches, [l for l, _ in pairs])
+    matches = right.groupBy(*[as_column(r).alias(l) for l, r in pairs]).agg(F.count("*").alias("matches"))
+    counted = key_join(left.select(*[as_column(l) for l, _ in pairs]), matches, [l for l, _ in pairs])
     return counted.agg(
         F.count("*").alias("left_rows"),
         F.count("matches").alias("matched_rows"),
@@ -227,7 +221,7 @@ def require_empty(df: DataFrame, message: str) -> None:
 
 def merge_coverage(df: DataFrame, marker_a: str, marker_b: str) -> DataFrame:
     """How many rows found a partner on side a, on side b, and on both."""
-    a, b = F.col(marker_a).isNotNull(), F.col(marker_b).isNotNull()
+    a, b = as_column(marker_a).isNotNull(), as_column(marker_b).isNotNull()
     return df.agg(
         F.count("*").alias("total"),
         F.count_if(a).alias("matched_a"),

@@ -78,7 +78,7 @@ def drop(df: DataFrame, *selectors: Selector | str) -> DataFrame:
 
 def across(df: DataFrame, columns: Iterable[str], fn: Callable[[Column], Column], name: str = "{}") -> DataFrame:
     """Apply one column function to many columns."""
-    return df.withColumns({name.format(c): fn(F.col(c)) for c in columns})
+    return df.withColumns({name.format(c): fn(as_column(c)) for c in columns})
 
 
 # -- names --------------------------------------------------------------------
@@ -102,7 +102,7 @@ def rename_aliases(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataF
 
 def suffix_columns(df: DataFrame, suffix: str, except_: Iterable[str] = ()) -> DataFrame:
     kept = set(except_)
-    return df.select(*[F.col(c) if c in kept else F.col(c).alias(c + suffix) for c in df.columns])
+    return df.select(*[as_column(c) if c in kept else as_column(c).alias(c + suffix) for c in df.columns])
 
 
 def clean_name(name: str) -> str:
@@ -158,7 +158,7 @@ def rename_if_present(df: DataFrame, renames: Mapping[str, str]) -> DataFrame:
 def column_or(df: DataFrame, name: str, fallback: Column | None = None) -> Column:
     """The column when it exists, else the fallback (typed NULL by default)."""
     if name in df.columns:
-        return F.col(name)
+        return as_column(name)
     return F.lit(None).cast("double") if fallback is None else fallback
 
 

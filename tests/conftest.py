@@ -29,5 +29,5 @@ def make(spark):
 
 def values(df, *columns):
     """Rows as sorted tuples, NULLs first."""
-    rows = [tuple(r) for r in df.select(*(columns or df.columns)).collect()]
+    rows = [tuple(r) for r in (df.select(*columns) if columns else df).collect()]
     return sorted(rows, key=lambda row: [(v is not None, v) for v in row])

@@ -117,3 +117,99 @@ def test_stage_tables_go_at_the_end_of_their_block(spark):
         assert spark.read.parquet(path).count() == 3
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     assert not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def folders(spark):
+    import os
+
+    root = session.checkpoint_folder(spark).removeprefix("file:")
+    return {name.rsplit("-", 1)[0] for name in os.listdir(root) if name.startswith("own_")}
+
+
+def test_results_outlive_their_inputs(spark, make):
+    before = folders(spark)
+    with session.stages(spark) as outer:
+        with session.stages(spark) as inner:
+            parts = session.stage(make("k int", [(1,), (2,)]), "own_parts")
+            assert folders(spark) - before == {"own_parts"}
+            kept = inner.keep(parts.where("k > 1"), "own_kept")
+            assert folders(spark) - before == {"own_parts", "own_kept"}
+        assert folders(spark) - before == {"own_kept"}
+        last = outer.keep(kept, "own_last")
+    assert folders(spark) - before == {"own_last"}
+    assert values(last) == [(2,)]
+    session.release(last)
+    assert folders(spark) == before
+
+
+def test_last_use_releases_a_stage_table(spark, make):
+    before = folders(spark)
+    with session.stages(spark):
+        first = session.stage(make("k int", [(1,), (2,), (3,)]), "own_first")
+        second = session.stage(first.where("k > 1"), "own_second", last_use_of=[first])
+        assert folders(spark) - before == {"own_second"}
+        third = session.stage(second.where("k > 2"), "own_third", last_use_of=[first, second, make("k int", [])])
+        assert folders(spark) - before == {"own_third"}
+        assert values(third) == [(3,)]
+    assert folders(spark) == before
+
+
+def test_a_failed_block_leaves_nothing(spark, make):
+    before = folders(spark)
+    with pytest.raises(RuntimeError), session.stages(spark):
+        session.stage(make("k int", [(1,)]), "own_lost")
+        raise RuntimeError
+    assert folders(spark) == before
+
+
+def test_quarantine_names_every_problem(spark, tmp_path):
+    from polyad.sources import checked
+
+    (tmp_path / "a.csv").write_text("k,x.y,d\n1,2.5,2001-01-01\nzz,bad,2001-02-03\n3,NA,\n4,5\n5,1,2,3\n6,nan,never\n7, 8 ,2001-01-09\n")
+    (tmp_path / "b.csv").write_text("k,x.y,d\n9,1e5,2001-01-01\n")
+    read = lambda **how: checked.read_checked(spark, str(tmp_path), "k int, `x.y` double, d date", **how)
+    found = read()
+    assert [(r[0], r[1], str(r[2])) for r in values(found.rows)] == [(1, 2.5, "2001-01-01"), (3, None, "None"), (7, 8.0, "2001-01-09"), (9, 1e5, "2001-01-01")]
+    bad = [(r.file.rsplit("/", 1)[1], r.line, r.problems) for r in found.quarantine.orderBy("row").collect()]
+    assert bad == [("a.csv", "zz,bad,2001-02-03", ["k: zz", "x.y: bad"]), ("a.csv", "4,5", ["cells"]), ("a.csv", "5,1,2,3", ["cells"]), ("a.csv", "6,nan,never", ["d: never"])]
+    assert [(r[0].rsplit("/", 1)[1], *r[1:]) for r in values(found.counts)] == [("a.csv", 7, 4, 5), ("b.csv", 1, 0, 0)]
+    kept = read(keep=True)
+    assert values(kept.rows, "k") == [(None,), (1,), (3,), (6,), (7,), (9,)]
+    assert kept.quarantine.count() == 4
+
+
+def test_quarantine_of_nothing(spark, tmp_path):
+    from polyad.sources import checked
+
+    (tmp_path / "a.csv").write_text("k,x\n")
+    found = checked.read_checked(spark, str(tmp_path), "k int, x double")
+    assert [t.count() for t in found] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_source_order_survives_shuffles(spark, tmp_path, fmt):
+    from pyspark.sql import functions as F
+
+    from polyad.operators import ranking
+    from polyad.sources import ordered
+
+    rows = spark.range(4000).select((F.col("id") % 100).alias("k"), F.col("id"), F.xxhash64("id").alias("mess"))
+    for part in range(4):  # the file's order is that of no column
+        chosen = rows.where(F.col("id") % 4 == part).repartition(1).sortWithinPartitions("mess")
+        chosen.write.format(fmt).save(f"{tmp_path}/t/part={part}")
+    read = spark.read.schema(rows.schema).option("maxPartitionBytes", 20_000).format(fmt).load(f"{tmp_path}/t")
+    order = [(r.part, r.mess, r.id, r.k) for r in sorted(read.collect(), key=lambda r: (r.part, r.mess))]
+    noted = ordered.with_source_order(read).repartition(7, "id")
+    assert [r.id for r in noted.orderBy("source_order").collect()] == [r[2] for r in order]
+    first = {}
+    for *_, i, k in order:
+        first.setdefault(k, i)
+    assert {r.k: r.id for r in ranking.first_in_source(read, ["k"]).collect()} == first
+
+
+def test_only_scans_have_a_source_order(spark, make):
+    from polyad.sources import ordered
+
+    with pytest.raises(ValueError, match="scanned"):
+        ordered.with_source_order(make("k int", [(1,)]))
+    assert ordered.source_place(make("k int", [(1,)])) is None

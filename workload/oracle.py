@@ -13,6 +13,10 @@ _name_override = " ".join(
 )
 
 VIEWS = {
+    "windows": """
+        SELECT user_id, event_id AS "window", CASE WHEN event_id % 77 <> 0 THEN ts END AS opened,
+               CASE WHEN event_id % 35 <> 0 THEN ts + to_seconds(event_id * 37 % 20000 - 300) END AS closed
+        FROM events WHERE event_id % 7 = 0""",
     "unit_orders": """
         SELECT c_nationkey AS u, CAST(year(o_orderdate) AS INT) AS y, o_orderkey, o_custkey, o_orderstatus,
                o_totalprice, o_orderpriority, c_mktsegment, CAST(o_orderdate AS DATE) AS o_day
@@ -905,9 +909,42 @@ BODIES = {
     "csv_roundtrip": "SELECT COWcode, year, round(most, 2) AS most, segment FROM gappy",
     "typed_snapshot": """
         SELECT COWcode, year, round(half, 2) AS half, segment, status, count(*) OVER (PARTITION BY segment) AS n FROM gappy""",
-    "read_from_tree": """
-        SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INT) AS year FROM orders
-        WHERE year(o_orderdate) IN (1994, 1997)""",
+    "read_from_tree": "SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS INT) AS year FROM orders",
+    "event_intervals": """
+        SELECT "window", count(*) AS n, min(event_id) AS first_event, max(event_id) AS last_event
+        FROM events JOIN windows USING (user_id)
+        WHERE (opened IS NULL OR opened <= ts) AND (closed IS NULL OR ts <= closed) GROUP BY "window\"""",
+    "event_intervals_left": """
+        SELECT event_id, "window" FROM events e LEFT JOIN windows w ON w.user_id = e.user_id AND opened <= ts AND ts <= closed""",
+    "event_covered": """
+        SELECT event_id, CASE WHEN event_id % 3 <> 0 AND EXISTS (
+            SELECT 1 FROM windows w WHERE w.user_id = e.user_id AND (opened IS NULL OR opened <= ts) AND (closed IS NULL OR ts <= closed)
+        ) THEN 1 ELSE 0 END AS member FROM events e""",
+    "checked_rows": """
+        SELECT o_orderkey, CASE WHEN o_orderkey % 50 NOT IN (0, 3, 4, 5) THEN o_orderkey % 1000 / 8 END AS price,
+               CASE WHEN o_orderkey % 50 <> 3 THEN CAST(o_orderdate AS DATE) END AS day
+        FROM orders WHERE o_orderkey % 50 NOT IN (1, 2)""",
+    "checked_quarantine": """
+        WITH c AS (SELECT o_orderkey % 50 AS k, CAST(o_orderkey AS VARCHAR) AS a, CAST(o_orderkey % 1000 / 8 AS VARCHAR) AS p, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS d FROM orders)
+        SELECT CASE k WHEN 0 THEN a || ',bad,' || d WHEN 1 THEN a || ',' || p WHEN 2 THEN a || ',' || p || ',' || d || ',more' ELSE a || ',bad,never' END AS line,
+               CASE k WHEN 0 THEN 'price: bad' WHEN 3 THEN 'price: bad; day: never' ELSE 'cells' END AS problems
+        FROM c WHERE k < 4""",
+    "checked_counts": """
+        SELECT count(*) AS n_lines, count(*) FILTER (o_orderkey % 50 < 4) AS n_rejected,
+               CAST(sum(CASE o_orderkey % 50 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE 0 END) AS BIGINT) AS n_problems
+        FROM orders""",
+    "first_in_source": """
+        SELECT o_custkey, o_orderkey, CAST(year(o_orderdate) AS INT) AS year FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY year(o_orderdate), o_orderkey DESC) = 1""",
+    "observed_counts": """
+        WITH c AS (SELECT g.*, n.n_nationkey IS NOT NULL AS found FROM gappy g LEFT JOIN nation n ON n_nationkey = "COWcode" AND n_regionkey < 3),
+        k AS (SELECT * FROM c WHERE most IS NOT NULL AND segment IS NOT NULL)
+        SELECT 'dropped' AS step, 'n_rows' AS measure, count(*) AS n FROM c
+        UNION ALL SELECT 'dropped', 'n_dropped', count(*) FILTER (most IS NULL OR segment IS NULL) FROM c
+        UNION ALL SELECT 'dropped', 'missing_most', count(*) FILTER (most IS NULL) FROM c
+        UNION ALL SELECT 'dropped', 'missing_segment', count(*) FILTER (segment IS NULL) FROM c
+        UNION ALL SELECT 'matched', 'n_rows', count(*) FROM k
+        UNION ALL SELECT 'matched', 'n_matched', count(*) FILTER (found) FROM k""",
     "batch_rows": """
         SELECT CASE WHEN year < 1996 THEN 'early' WHEN year < 1998 THEN 'ragged' ELSE 'late' END AS batch, iso2c, year,
                CASE WHEN year < 1998 OR year % 2 = 1 THEN round(gdp_pc, 4) END AS gdp_pc,
@@ -932,6 +969,14 @@ BODIES = {
                || ',"found":true,"missing":' || count(*) FILTER (NOT has) || ',"variable":"fraser_bmp_score"}' FROM p
         UNION ALL SELECT 'coverage', '{"coverage_percent":null,"found":false,"missing":null,"variable":"unified_corruption"}'
         UNION ALL SELECT 'table_is_aut_episode', '{"is_aut_episode":' || level || ',"n":' || n || '}' FROM q
+        UNION ALL SELECT 'levels', '{"found":' || (variable IN ('is_aut_episode', 'gli_leader_ideology_num')) || ',"levels":'
+               || CASE variable WHEN 'is_aut_episode' THEN (SELECT count(*) FROM q) WHEN 'gli_leader_ideology_num' THEN (SELECT count(DISTINCT gli) FROM p) ELSE 0 END
+               || ',"variable":"' || variable || '"}'
+        FROM (SELECT unnest(['is_petro_state', 'is_aut_episode', 'is_dem_episode', 'alba_member', 'mid_onset', 'is_leftist_leader', 'is_rightist_leader',
+                             'gli_leader_ideology_num', 'fatality']) AS variable)
+        UNION ALL SELECT 'missing', '{"missing_percent":"' || rtrim(rtrim(format('{:.2f}', round(share, 2)), '0'), '.') || '%","share":' || share || ',"variable":"' || variable || '"}'
+        FROM (SELECT unnest(['COWcode', 'year', 'is_aut_episode', 'gli_leader_ideology_num', 'fraser_bmp_score']) AS variable,
+                     unnest([0.0, 0.0, count(*) FILTER (aut IS NULL) * 100.0 / count(*), 0.0, count(*) FILTER (NOT has) * 100.0 / count(*)]::DOUBLE[]) AS share FROM p)
         UNION ALL SELECT 'export', '{"is_aut_episode":' || level || ',"n":' || n || '}' FROM q
         UNION ALL SELECT 'table_gli_leader_ideology_num', '{"gli_leader_ideology_num":"' || gli || '","n":' || count(*) || '}'
         FROM p GROUP BY gli""",

@@ -22,10 +22,10 @@ from polyad.learn.sequences import (
     sequence_windows,
     time_split,
 )
-from polyad.operators import aggregates, crosswalk, grid, joins, ranking, scaling, schema, series, spells
+from polyad.operators import aggregates, crosswalk, grid, intervals, joins, observed, ranking, scaling, schema, series, spells
 from polyad.plans import checks, dyadic, monadic
 from polyad.session import scratch_path, stage
-from polyad.sources import tables
+from polyad.sources import checked, tables
 from workload import views as V
 from workload.views import Views
 
@@ -90,6 +90,37 @@ def order_membership(v: Views) -> DataFrame:
     )
 
 
+def event_windows(v: Views) -> DataFrame:
+    """Windows of up to some hours after every seventh event of a user; some stay open, some end before they start."""
+    n = F.col("event_id")
+    opened = F.when(n % 77 != 0, F.col("ts"))
+    closed = F.when(n % 35 != 0, F.col("ts") + F.make_dt_interval(secs=(n * 37 % 20000 - 300).cast("decimal(18,6)")))
+    return v.table("events").where(n % 7 == 0).select("user_id", n.alias("window"), opened.alias("opened"), closed.alias("closed"))
+
+
+@query
+def event_intervals(v: Views) -> DataFrame:
+    """Events of a user within the user's windows, to the microsecond."""
+    events = v.table("events").select("event_id", "user_id", "ts")
+    met = intervals.interval_join(events, event_windows(v), ["user_id"], "ts", "opened", "closed")
+    return met.groupBy("window").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+
+
+@query
+def event_intervals_left(v: Views) -> DataFrame:
+    """Every event with the closed windows that hold it, or with none."""
+    events = v.table("events").select("event_id", "user_id", "ts")
+    return intervals.interval_join(events, event_windows(v).dropna(), ["user_id"], "ts", "opened", "closed", "left").select("event_id", "window")
+
+
+@query
+def event_covered(v: Views) -> DataFrame:
+    """Is an event in any window of its user? A third of the events has no user."""
+    user = F.when(F.col("event_id") % 3 != 0, F.col("user_id"))
+    events = v.table("events").select("event_id", user.alias("user_id"), "ts")
+    return intervals.covered(events, event_windows(v), ["user_id"], "ts", "opened", "closed").select("event_id", "member")
+
+
 @query
 def bloc_score_series(v: Views) -> DataFrame:
     return rounded(monadic.bloc_score_series(with_bloc(v, v.panel())))
@@ -768,16 +799,64 @@ def typed_snapshot(v: Views) -> DataFrame:
     return rounded(joins.key_join(rows, levels.select(F.col("level").alias("segment"), "n"), ["segment"]), 2)
 
 
+def damaged_orders(v: Views) -> checked.Checked:
+    """Orders landed as text, some lines with bad cells, some with too few or too many, and read with a quarantine."""
+    path, key = _scratch(v, "damaged"), F.col("o_orderkey") % 50
+    price = F.when(key.isin(0, 3), "bad").when(key == 4, "NA").when(key == 5, "").otherwise((F.col("o_orderkey") % 1000 / 8).cast("string"))
+    day = F.when(key == 3, "never").otherwise(F.to_date("o_orderdate").cast("string"))
+    cells = [F.col("o_orderkey").cast("string"), price, day]
+    line = F.when(key == 1, F.concat_ws(",", *cells[:2])).when(key == 2, F.concat_ws(",", *cells, F.lit("more"))).otherwise(F.concat_ws(",", *cells))
+    v.table("orders").select(line.alias("line")).write.text(path)
+    return checked.read_checked(v.spark, path, "o_orderkey bigint, price double, day date", keep=True, header=False)
+
+
+@query
+def checked_rows(v: Views) -> DataFrame:
+    """Lines with a bad cell stay, with NULL there; lines with a wrong number of cells do not."""
+    return damaged_orders(v).rows
+
+
+@query
+def checked_quarantine(v: Views) -> DataFrame:
+    """Every damaged line as it stands in its file, and why."""
+    return damaged_orders(v).quarantine.select("line", F.array_join("problems", "; ").alias("problems"))
+
+
+@query
+def checked_counts(v: Views) -> DataFrame:
+    """Lines, rejected lines and problems of all files."""
+    counts = damaged_orders(v).counts
+    return counts.agg(*[F.sum(c).alias(c) for c in ("n_lines", "n_rejected", "n_problems")])
+
+
+@query
+def first_in_source(v: Views) -> DataFrame:
+    """Each customer's first order in the files' order: folders by year, and within a year from the last key to the first."""
+    path = _scratch(v, "by_year")
+    orders = v.table("orders").select("o_custkey", "o_orderkey", F.year("o_orderdate").alias("year"))
+    orders.repartition("year").sortWithinPartitions("year", F.desc("o_orderkey")).write.partitionBy("year").parquet(path)
+    return ranking.first_in_source(v.spark.read.schema(orders.schema).parquet(path), ["o_custkey"])
+
+
+@query
+def observed_counts(v: Views) -> DataFrame:
+    """What dropping incomplete rows and a join leave out, reported by the run that does it."""
+    complete, dropped = observed.drop_missing(gappy_orders(v), ["most", "segment"])
+    rich = v.table("nation").select(F.col("n_nationkey").alias("COWcode"), "n_name").where("n_regionkey < 3")
+    joined, matched = observed.observed_join(complete, rich, ["COWcode"])
+    stage(joined, "observed")
+    rows = [("dropped", n, x) for n, x in dropped.get.items()] + [("matched", n, x) for n, x in matched.get.items()]
+    return schema.inline_table(v.spark, "step string, measure string, n bigint", rows)
+
+
 @query
 def read_from_tree(v: Views) -> DataFrame:
     """Files of one name in any folder below a root, others left alone."""
     root = _scratch(v, "tree")
     orders = v.table("orders").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("year"))
-    for year in (1994, 1997):
-        tables.write_delimited(orders.where(F.col("year") == year).coalesce(1), f"{root}/{year}/in")
-        _move_part(v, f"{root}/{year}/in", f"{root}/{year}/orders.csv")
-    tables.write_delimited(orders.limit(0), f"{root}/other")
-    return tables.read_from_tree(v.spark, root, "orders.csv", "o_orderkey bigint, o_orderstatus string, year int")
+    orders.withColumn("of", F.col("year")).write.partitionBy("of").option("header", True).csv(root)
+    orders.write.json(f"{root}/other")
+    return tables.read_from_tree(v.spark, root, "part-*.csv", "o_orderkey bigint, o_orderstatus string, year int")
 
 
 def _move_part(v: Views, folder: str, target: str) -> None:
@@ -852,7 +931,6 @@ def codebook(v: Views) -> DataFrame:
     rows = [
         df.select(F.lit(name).alias("section"), F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("entry"))
         for name, df in sections.items()
-        if name in ("extent", "coverage", "table_is_aut_episode", "table_gli_leader_ideology_num", "export")
     ]
     return reduce(DataFrame.unionByName, rows)
 
