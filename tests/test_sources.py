@@ -213,3 +213,16 @@ def test_only_scans_have_a_source_order(spark, make):
     with pytest.raises(ValueError, match="scanned"):
         ordered.with_source_order(make("k int", [(1,)]))
     assert ordered.source_place(make("k int", [(1,)])) is None
+
+
+def test_the_pair_table_holds_only_what_it_reads(spark):
+    import os
+
+    from workload.queries import QUERIES
+
+    root = session.checkpoint_folder(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    master = QUERIES["dyad_master"](spark, "/root/testdata/sf0.001")
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(root)) - before}
+    assert "dyads" in left and not left & {"links", "profile", "pairs", "panel"}
+    assert master.count() > 0

@@ -495,7 +495,7 @@ def profiled(v: Views) -> DataFrame:
 def extreme(v: Views) -> DataFrame:
     columns = [*PAIR, "iso3a", "hihosta", "fatlev", "targeted_democracy", "hhi_import_b"]
     scored = [f"{c}_{side}" for c in ("v2x_libdem", "v2exl_legitideol") for side in ("a", "b")]
-    return dyadic.ideology_extremity(stage(profiled(v).select(*columns, *scored), "dyads"))
+    return dyadic.ideology_extremity(v.contained(lambda: profiled(v).select(*columns, *scored), "dyads"))
 
 
 def indexed(v: Views) -> DataFrame:
@@ -608,7 +608,7 @@ def leader_events(v: Views) -> DataFrame:
 
 @query
 def leader_tenure_summary(v: Views) -> DataFrame:
-    return rounded(checks.leader_tenure_summary(stage(led(v).select("leader_tenure_years_a", "leader_tenure_years_b"), "led")))
+    return rounded(checks.leader_tenure_summary(v.contained(lambda: led(v).select("leader_tenure_years_a", "leader_tenure_years_b"), "led")))
 
 
 @query

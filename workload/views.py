@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from polyad.operators.grid import complete_grid
 from polyad.operators.joins import key_join
 from polyad.operators.schema import inline_table
-from polyad.session import stage
+from polyad.session import stage, stages
 from polyad.sources.tables import read_landed
 
 FIRST_YEAR, LAST_YEAR = 1993, 2003
@@ -82,6 +82,13 @@ class Views:
         self.spark, self.sf_dir = spark, sf_dir
         self.written: dict[str, DataFrame] = {}
 
+    def contained(self, build: Callable[[], DataFrame], name: str) -> DataFrame:
+        """A stage table of what ``build`` returns; whatever was landed or staged for it goes once it is written."""
+        with stages(self.spark) as inside:
+            kept = inside.keep(build(), name)
+        self.written.clear()
+        return kept
+
     def table(self, name: str) -> DataFrame:
         return read_landed(self.spark, f"{self.sf_dir}/{name}.parquet", SCHEMAS[name], keep_nan=NAN_FREE)
 
