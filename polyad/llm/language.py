@@ -9,6 +9,7 @@ Edge cases: a text that is NULL, empty or without a letter is ``und`` with score
 0; so is any text when no row could be learned from. Rows without language or
 text teach nothing. Repeated rows count as often as they occur. Equal counts are
 ranked by the n-gram's code points, so results do not depend on partitioning.
+More than ``MOST_LANGUAGES`` languages raise, as their profiles are sent to every worker.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, columns, map_batches, worker_memory
+from .common import blocks, by_size, columns, map_batches, tidy, worker_memory
 
 UNKNOWN = "und"
 LONGEST = 3  # letters of the longest n-gram; three code points fit into one number
@@ -74,7 +76,8 @@ def profiles(docs: DataFrame, length: int = PROFILE) -> DataFrame:
     learned = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
     counts = map_batches(learned, count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counts.withColumn("place", F.row_number().over(order) - 1).where(F.col("place") < length).select("lang", "gram", "place")
+    ranked = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= length)  # each task keeps its first ones only
+    return ranked.select("lang", "gram", (F.col("rank") - 1).alias("place"))
 
 
 def load(table: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -117,3 +120,16 @@ def identify(docs: DataFrame, table: DataFrame, length: int = PROFILE) -> DataFr
             yield [[r[0] for r in held], *columns([rank(text, *model.value, length) for _, text in held])]
 
     return map_batches(docs.select("doc_id", "text"), predict, "doc_id long, lang_pred string, score double")
+
+
+def recognised(docs: DataFrame, table: DataFrame, length: int = PROFILE) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in which a language is found; nothing is shuffled."""
+    model = docs.sparkSession.sparkContext.broadcast(load(table))
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in by_size(batches, "text", 4_000_000):
+            good = [rank(text, *model.value, length)[0] != UNKNOWN for text in block.column("text").to_pylist()]
+            yield block.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from polyad.session import stage
+from polyad.session import stage, stages
 
 from .common import by_size, tidy
 from .words import Tokens, mixed
@@ -81,8 +81,11 @@ def _reduced(function: np.ufunc, values: np.ndarray, ends: np.ndarray) -> np.nda
     return function.reduceat(values, starts) if len(starts) else values[:0]
 
 
-def signatures(docs: DataFrame, tables: int = TABLES, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
-    """(key, doc_id, n, a, b, bands, sketch, parity): a set's size, 128-bit name, bands of both collections, a 64-bit sketch and its parities."""
+def signatures(docs: DataFrame, tables: int = TABLES, rows: int = ROWS, size: int = SHINGLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, doc_id, n, a, b, bands, sketch, parity): a set's size, 128-bit name, bands of both collections, a 64-bit sketch and its parities.
+
+    Number columns named in ``carry`` go along.
+    """
     count = 2 * tables * rows
 
     @tidy
@@ -114,12 +117,14 @@ def signatures(docs: DataFrame, tables: int = TABLES, rows: int = ROWS, size: in
                     block.column("key"), block.column("doc_id").cast(pa.int64()), pa.array(sizes), *(pa.array(x.view(np.int64)) for x in names),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * 2 * tables, pa.int32()), flat), pa.array(sketch.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * (PARITY // 64), pa.int32()), parity),
+                    *(block.column(c) for c in carry),
                 ],
-                names=["key", "doc_id", "n", "a", "b", "bands", "sketch", "parity"],
+                names=["key", "doc_id", "n", "a", "b", "bands", "sketch", "parity", *carry],
             )
 
-    keyed = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text")
-    return keyed.mapInArrow(sign, "key long, doc_id long, n long, a long, b long, bands array<long>, sketch long, parity array<long>")
+    keyed = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", "text", *[F.col(c).cast("long") for c in carry])
+    more = "".join(f", {c} long" for c in carry)
+    return keyed.mapInArrow(sign, "key long, doc_id long, n long, a long, b long, bands array<long>, sketch long, parity array<long>" + more)
 
 
 def table_keys(nodes: DataFrame, tables: int = TABLES) -> DataFrame:
@@ -201,7 +206,7 @@ def components(links: DataFrame) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        links = stage(small, "links")
+        links = stage(small, "links", last_use_of=[links])
         after = mark(links)
         if after == before:
             break
@@ -214,10 +219,23 @@ def _with_roots(df: DataFrame, roots: DataFrame, node: str, into: str) -> DataFr
     return df.join(found, node, "left").withColumn(into, F.coalesce(into, node))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = TABLES, rows: int = ROWS, size: int = SHINGLE) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``."""
-    docs = docs.select("doc_id", "text")
-    signed = stage(signatures(docs, tables, rows, size), "signatures")
+def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = TABLES, rows: int = ROWS, size: int = SHINGLE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
+
+    With ``carry``, those number columns of ``docs`` go along, and ``component_key`` tells components apart whose documents have no ids.
+    """
+    docs = docs.select("doc_id", "text", *carry)
+    with stages(docs.sparkSession) as inside:
+        signed = inside.keep(signatures(docs, tables, rows, size, carry), "signatures")
+        labels = inside.keep(_labels(docs.select("doc_id", "text"), signed, percent, tables, size), "labels")
+    out = signed.select("key", "doc_id", "n", "a", "b", *carry).join(labels, ["a", "b"], "left")
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    out = out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), *carry, F.coalesce("root", "key").alias("component_key"))
+    return out if carry else out.drop("component_key")
+
+
+def _labels(docs: DataFrame, signed: DataFrame, percent: int, tables: int, size: int) -> DataFrame:
+    """(a, b, root, component_id) of every set."""
     classes = signed.where("n > 0").groupBy("a", "b").agg(F.min("key").alias("node"), F.min("doc_id").alias("least_id"))
     classes = stage(classes, "classes")
     nodes = signed.join(classes.select(F.col("node").alias("key")), "key", "left_semi").withColumnRenamed("key", "node")
@@ -226,11 +244,10 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = TABLES, ro
     shared = table_keys(nodes, tables).withColumn("y", F.min("node").over(bucket)).withColumn("last", F.max("node").over(bucket)).where("y < last").select("key", "node", "y", "i", "j")
     shared = stage(shared, "buckets")
     about = stage(nodes.join(shared.select("node").distinct(), "node").select("node", "doc_id", "a", "b", "n", "bands", "sketch", "parity"), "nodes")
-    sets = _needed_sets(docs, about, size)
-    sets = stage(sets, "sets")
+    raw = stage(_needed_sets(docs, about, size), "sets")
     named = about.select("node", "doc_id", "a", "b")
-    sets = sets.join(named, [sets.doc_id.eqNullSafe(named.doc_id), sets.a == named.a, sets.b == named.b]).select("node", "shingles").dropDuplicates(["node"])
-    sets = stage(sets, "sets")
+    sets = raw.join(named, [raw.doc_id.eqNullSafe(named.doc_id), raw.a == named.a, raw.b == named.b]).select("node", "shingles").dropDuplicates(["node"])
+    sets = stage(sets, "sets", last_use_of=[raw])
     side = lambda x: about.select(F.col("node").alias(x), *(F.col(c).alias(f"{o}_{x}") for c, o in (("n", "n"), ("sketch", "s"), ("parity", "p"))))
     agree = 64 - F.bit_count(F.col("s_x").bitwiseXOR(F.col("s_y")))
     apart = " + ".join(f"bit_count(p_x[{k}] ^ p_y[{k}])" for k in range(PARITY // 64))
@@ -244,13 +261,13 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = TABLES, ro
     # the most promising star between two components
     across = _with_roots(_with_roots(stars, roots, "x", "cx"), roots, "y", "cy").where("cx <> cy")
     second = across.groupBy(F.least("cx", "cy").alias("c"), F.greatest("cx", "cy").alias("d")).agg(best).select((-F.col("best.col3")).alias("x"), (-F.col("best.col2")).alias("y"))
-    links = stage(links.unionByName(confirm(stage(second, "pairs"), sets, percent)), "confirmed")
+    links = stage(links.unionByName(confirm(stage(second, "pairs", last_use_of=[stars]), sets, percent)), "confirmed")
     roots = components(links)
     # what still shares a bucket with another component
-    placed = stage(_with_roots(shared.select("key", "node", "i", "j"), roots, "node", "c"), "placed")
+    placed = stage(_with_roots(shared.select("key", "node", "i", "j"), roots, "node", "c"), "placed", last_use_of=[shared])
     mixed_keys = placed.groupBy("key").agg(F.min("c").alias("first"), F.max("c").alias("last")).where("first < last").select("key", "first")
     rest = placed.join(stage(mixed_keys, "mixed"), "key").join(about.select("node", "n", "bands", "parity"), "node")
-    rest = stage(rest, "rest")
+    rest = stage(rest, "rest", last_use_of=[placed])
     shown = (("node", "id"), ("c", "c"), ("n", "n"), ("bands", "b"), ("parity", "p"))
     left = rest.where("c > first").select("key", "i", "j", *(F.col(c).alias(f"{o}_x") for c, o in shown))
     right = rest.select("key", *(F.col(c).alias(f"{o}_y") for c, o in shown))
@@ -261,7 +278,4 @@ def near_duplicates(docs: DataFrame, percent: int = 75, tables: int = TABLES, ro
     roots = components(links)
     rooted = _with_roots(classes, roots, "node", "root")
     names = stage(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "names")
-    labels = stage(rooted.join(names, "root").select("a", "b", "component_id"), "labels")
-    out = signed.select("doc_id", "n", "a", "b").join(labels, ["a", "b"], "left")
-    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return rooted.join(names, "root").select("a", "b", "root", "component_id")

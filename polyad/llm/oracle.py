@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .chat import MIDDLE, START, STOP
-from .secrets import BASE, KINDS, MOST_OWNERS, ORDER, PLACEHOLDER
+from .secrets import BASE, KINDS, MOST_OWNERS, MOST_REPOSITORIES, ORDER, PLACEHOLDER
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -138,10 +138,10 @@ each AS (SELECT *, unnest(range(1, len(wholes) + 1)) AS i FROM found),
 spans AS (
     SELECT key, kind, CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(wholes[1 : i - 1], lambda g: length(g))), 0) AS BIGINT) AS start,
            length(wholes[i]) AS size, vals[i] AS value FROM each WHERE length(vals[i]) >= least),
-spread AS (SELECT value, count(DISTINCT coalesce(owner, '')) AS owners FROM spans JOIN docs USING (key) GROUP BY value),
+spread AS (SELECT value, count(DISTINCT coalesce(owner, '')) AS owners, count(DISTINCT (owner, repository)) AS repositories FROM spans JOIN docs USING (key) GROUP BY value),
 judged AS (
-    SELECT key, kind, start, start + size AS stop,
-           owners <= {MOST_OWNERS} AND (kind IN ({always})
+    SELECT key, kind, start, start + size AS stop, owners, repositories,
+           owners <= {MOST_OWNERS} AND repositories <= {MOST_REPOSITORIES} AND (kind IN ({always})
              OR len(list_distinct(string_split(value, ''))) >= 10
                 AND CAST(regexp_matches(value, '[a-z]') AS INT) + CAST(regexp_matches(value, '[A-Z]') AS INT) + CAST(regexp_matches(value, '[0-9]') AS INT) >= 2
                 AND NOT regexp_matches(value, '{PLACEHOLDER}')) AS live
@@ -151,5 +151,6 @@ shown AS (
     SELECT * FROM reported a WHERE kind < {len(BASE)} OR NOT EXISTS (
         SELECT 1 FROM reported b WHERE b.key = a.key AND b.kind < a.kind AND b.start <= a.start AND a.stop <= b.stop))
 SELECT any_value(doc_id) AS doc_id, {', '.join(f"count(*) FILTER (kind = {ORDER[k]}) AS n_{k}" for k in BASE)},
-       sha256({listed(f'kind < {len(BASE)}')}) AS base_sha256, {listed('kind IS NOT NULL')} AS spans, count(*) FILTER (live) AS n_live
+       sha256({listed(f'kind < {len(BASE)}')}) AS base_sha256, {listed('kind IS NOT NULL')} AS spans, count(*) FILTER (live) AS n_live,
+       coalesce(max(owners), 0) AS most_owners, coalesce(max(repositories), 0) AS most_repositories
 FROM docs LEFT JOIN shown USING (key) GROUP BY key"""

@@ -2,10 +2,12 @@
 
 Patterns find candidates in every text. Each candidate's value is hashed, and the
 hashes are aggregated by distinct repository and owner over the whole corpus. A
-value that more than ``most_owners`` owners publish is an example that was copied
-widely; one that stays with its owners and looks random is a live credential. The
+value that more than ``most_owners`` owners publish, or that stands in more than
+``most_repositories`` repositories, is an example that was copied widely; one that
+stays with its owners and looks random is a live credential. The
 base kinds are always reported; candidates of the further kinds are reported if
-they are live.
+they are live. Values are hashed and judged in the scan of the texts: no plain value
+is written to a stage table or sent through a shuffle.
 
 A private key's span is its whole block, from the header to the END line, or without
 one to the end of the base64 lines, and its value is the key: what the header says is
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from polyad.session import stage
+from polyad.session import stage, stages
 
 # kind: (pattern, group of the value, least length of the value); the first three are the base kinds
 KINDS = {
@@ -37,6 +39,7 @@ KINDS = {
     "opaque": (r"[A-Za-z0-9+/_-]{24,}", 0, 24),
 }
 # of a block: group 1 is what follows the header, up to the next line of dashes if that is the END, or else lines of base64
+_FOUND = "array<struct<kind:int, start:int, stop:int, hash:string, random:boolean>>"
 _GAP, _LINE = r"(?:\s|\\[nr])", r"[A-Za-z0-9+/=]"
 BLOCK = (
     KINDS["block"][0]
@@ -46,12 +49,13 @@ BLOCK = (
 )
 BASE = ("assign", "access", "hex")
 MOST_OWNERS = 2
+MOST_REPOSITORIES = 5
 ORDER = {kind: i for i, kind in enumerate(KINDS)}
 PLACEHOLDER = r"(?i)example|sample|placeholder|change.?me|your.?(key|token|secret)|x{6}|\*{4}|123456|abcdef"
 
 
 def _spans(text: Column, kind: str) -> Column:
-    """Matches of one kind in order: structs of kind number, start, end and value.
+    """Matches of one kind in order: structs of kind number, start, end, the value's hash, and whether it looks random.
 
     Splitting a text at its matches gives the gaps between them, so starts are sums of lengths.
     """
@@ -62,12 +66,12 @@ def _spans(text: Column, kind: str) -> Column:
     if kind == "block":
         value = F.zip_with(value, whole, _key)
     found = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), value.alias("value"))
-    empty = F.expr("cast(array() AS array<struct<kind:int, start:int, stop:int, value:string>>)")
+    empty = F.expr(f"cast(array() AS {_FOUND})")
 
     def add(state: Column, x: Column) -> Column:
         start = state["at"] + F.length(x["gap"])
         stop = start + F.coalesce(F.length(x["whole"]), F.lit(0))
-        row = F.struct(F.lit(ORDER[kind]).alias("kind"), start.alias("start"), stop.alias("stop"), x["value"].alias("value"))
+        row = F.struct(F.lit(ORDER[kind]).alias("kind"), start.alias("start"), stop.alias("stop"), F.sha2(x["value"], 256).alias("hash"), _random(x["value"]).alias("random"))
         good = F.coalesce(F.length(x["value"]) >= least, F.lit(False))
         return F.struct(stop.alias("at"), F.when(good, F.concat(state["out"], F.array(row))).otherwise(state["out"]).alias("out"))
 
@@ -86,7 +90,7 @@ def candidates(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
     any_kind = "|".join(f"(?:{pattern})" for pattern, _, _ in KINDS.values())
     docs = docs.select(F.monotonically_increasing_id().alias("key"), "doc_id", F.xxhash64(text).alias("print"), owner.cast("string").alias("owner"), repository.cast("string").alias("repository"), text.alias("text"))
     found = F.flatten(F.array(*(_spans(F.col("text"), kind) for kind in KINDS)))
-    none = F.expr("cast(array() AS array<struct<kind:int, start:int, stop:int, value:string>>)")
+    none = F.expr(f"cast(array() AS {_FOUND})")
     return docs.select("key", "doc_id", "print", "owner", "repository", F.when(F.col("text").rlike(any_kind), found).otherwise(none).alias("found"))
 
 
@@ -96,44 +100,45 @@ def _random(value: Column) -> Column:
     return (F.size(F.array_distinct(F.split(value, ""))) >= 10) & (classes >= 2) & ~value.rlike(PLACEHOLDER)
 
 
-def scan(docs: DataFrame, owner: Column, repository: Column, most_owners: int = MOST_OWNERS) -> tuple[DataFrame, DataFrame]:
+def scan(docs: DataFrame, owner: Column, repository: Column, most_owners: int = MOST_OWNERS, most_repositories: int = MOST_REPOSITORIES) -> tuple[DataFrame, DataFrame]:
     """All rows (key, doc_id, print), and their spans (key, kind, start, stop, owners, repositories, live, reported).
 
     Counts are reduced by (hash, owner, repository) in the map tasks, so a value in a third of all rows is a few rows.
     """
     held = stage(candidates(docs, owner, repository), "candidates")
     rows = held.select("key", "owner", "repository", F.explode("found").alias("x")).select("key", "owner", "repository", "x.*")
-    rows = rows.withColumn("hash", F.sha2("value", 256))
     places = rows.groupBy("hash", "owner", "repository").agg(F.count("*").alias("times"))
     owned = places.groupBy("hash", "owner").agg(F.count("*").alias("repositories"), F.sum("times").alias("times"))
     spread = stage(owned.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("times").alias("times")), "spread")
     joined = rows.join(spread, "hash")
     base = F.col("kind").isin([ORDER[k] for k in BASE])
     always = F.col("kind").isin([ORDER["block"], ORDER["prefixed"], ORDER["login"]])
-    live = (F.col("owners") <= most_owners) & (_random(F.col("value")) | always)
+    live = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories) & (F.col("random") | always)
     spans = joined.withColumn("live", live).withColumn("reported", base | F.col("live"))
     return held.select("key", "doc_id", "print"), spans.select("key", "kind", "start", "stop", "owners", "repositories", "times", "live", "reported")
 
 
 def digest(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
-    """One row per row of ``docs``: counts of the base kinds, a hash of the base spans, all reported spans, and how many are live.
+    """One row per row of ``docs``: counts of the base kinds, a hash of the base spans, all reported spans, how many are live,
+    and the most owners and repositories that one of the reported values has (0 without one).
 
     Spans of the further kinds are left out where a span of a kind listed before covers them.
     """
     rows, spans = scan(docs, owner, repository)
     kinds = F.array(*(F.lit(k) for k in KINDS))
-    listed = spans.where("reported").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "stop", "live"))).alias("found"))
+    listed = spans.where("reported").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "stop", "live", "owners", "repositories"))).alias("found"))
 
     def joined(found: Column) -> Column:
         return F.array_join(F.transform(found, lambda x: F.concat_ws(":", F.element_at(kinds, x["kind"] + 1), x["start"], x["stop"])), ",")
 
-    every = F.coalesce("found", F.expr("cast(array() AS array<struct<start:int, kind:int, stop:int, live:boolean>>)"))
+    every = F.coalesce("found", F.expr("cast(array() AS array<struct<start:int, kind:int, stop:int, live:boolean, owners:bigint, repositories:bigint>>)"))
     base = F.filter(every, lambda x: x["kind"] < len(BASE))
     found = F.filter(every, lambda x: (x["kind"] < len(BASE)) | ~F.exists(every, lambda b: (b["kind"] < x["kind"]) & (b["start"] <= x["start"]) & (x["stop"] <= b["stop"])))
     count = lambda kind: F.size(F.filter(found, lambda x: x["kind"] == ORDER[kind])).cast("long").alias(f"n_{kind}")
     return rows.join(listed, "key", "left").select(
         "doc_id", *(count(k) for k in BASE), F.sha2(joined(base), 256).alias("base_sha256"), joined(found).alias("spans"),
         F.size(F.filter(found, lambda x: x["live"])).cast("long").alias("n_live"),
+        *(F.coalesce(F.array_max(F.transform(found, lambda x: x[c])), F.lit(0)).cast("long").alias(f"most_{c}") for c in ("owners", "repositories")),
     )
 
 
@@ -154,10 +159,11 @@ def hide(docs: DataFrame, owner: Column, repository: Column, mark: str = "[SECRE
     Spans go back to the rows by doc_id and a hash of the text, so rows may repeat. NULL texts stay NULL.
     """
     own = "_secrets_"
-    rows, spans = scan(docs, owner, repository)
-    listed = spans.where("reported").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("found"))
-    marks = rows.join(listed, "key").groupBy("doc_id", "print").agg(F.first("found").alias("found"))
-    marks = stage(marks.select(*(F.col(c).alias(own + c) for c in ("doc_id", "print", "found"))), "marks")
+    with stages(docs.sparkSession) as inside:
+        rows, spans = scan(docs, owner, repository)
+        listed = spans.where("reported").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("found"))
+        marks = rows.join(listed, "key").groupBy("doc_id", "print").agg(F.first("found").alias("found"))
+        marks = inside.keep(marks.select(*(F.col(c).alias(own + c) for c in ("doc_id", "print", "found"))), "marks")
     same = F.col("doc_id").eqNullSafe(F.col(own + "doc_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(own + "print"))
     joined = docs.join(marks, same, "left")
     text = F.when(F.col(own + "found").isNull(), F.col("text")).otherwise(redacted(F.col("text"), F.col(own + "found"), mark))
