@@ -3,9 +3,9 @@
 Encoding: a block's distinct words become rows (word, place, token), one per
 byte. A recursive query joins neighbouring tokens with the merge table, finds
 each word's least rank and contracts the pairs of that rank from the left, until
-no word has a pair in the table. Decoding joins (text, place, token) rows with the
-vocabulary and aggregates the bytes in order of place. Blocks bound what a
-database holds; Spark deals the texts out, and nothing is shuffled.
+no word has a pair in the table. Decoding takes the ids of whole texts: rows of a place
+and a token's bytes are aggregated in order of place, ``PIECE`` rows at a time. Blocks
+bound what a database holds; Spark deals the texts out, and nothing is shuffled.
 
 The merge table has every split of a token into two tokens, ranked by the whole
 token, which is what a rank file means. A word that is itself a token stays whole.
@@ -25,6 +25,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .common import blocks, map_batches, worker_memory
@@ -33,6 +34,7 @@ MEMORY = "300MB"  # a database's working memory
 MEMO = 350_000  # words that a worker remembers at most
 SHORT = 48  # bytes of a word that contracts one pair a round
 CHUNK = 200_000  # bytes of short words in one recursive query
+PIECE = 250_000  # ids that one query decodes
 STATES = 2_000_000  # rows that a recursive query over long words may pile up, if one round has no more
 
 # k: round; w: word; p, e: first place of a token and of the next one, over all words, with a gap between words; t: token
@@ -80,8 +82,7 @@ WITH RECURSIVE step(k, w, i, t) AS (
 SELECT w, i, t, k FROM step SEMI JOIN (SELECT w, max(k) AS k FROM step GROUP BY w) USING (w, k) ORDER BY w, i
 """
 
-DECODE = "SELECT string_agg(v.h, '' ORDER BY x.i) FROM ids x JOIN vocabulary v ON v.t = x.t"
-SIZES = "SELECT d, sum(length(v.h) // 2)::BIGINT AS n FROM ids x JOIN vocabulary v ON v.t = x.t GROUP BY d"
+DECODE = "SELECT string_agg(h, '' ORDER BY i) FROM piece"
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -109,18 +110,20 @@ class Coder:
         splits = [(self.ranks[a], self.ranks[b], n) for token, n in self.ranks.items() for i in range(1, len(token)) if (a := token[:i]) in self.ranks and (b := token[i:]) in self.ranks]
         left, right, whole = np.array(splits, np.int64).T
         merges = pa.table({"pair": left << 32 | right, "merged": whole.astype(np.int32)})  # noqa: F841
-        words = pa.table({"t": pa.array(self.ranks.values(), pa.int32()), "h": [t.hex() for t in self.ranks]})  # noqa: F841
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": MEMORY, "temp_directory": ""})
         self.db.execute("CREATE TABLE merges AS FROM merges")
-        self.db.execute("CREATE TABLE vocabulary AS FROM words")
+        tokens = {n: t for t, n in self.ranks.items()}
+        whole = range(max(tokens) + 1)
+        self.hex = pa.array([tokens.get(n, b"").hex() for n in whole])  # of every id
+        self.sizes = np.array([len(tokens.get(n, b"")) for n in whole], np.int64)
+        self.decimal = pa.array([str(n) for n in whole])
         self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
         self.forget()
 
     def forget(self) -> None:
-        """Empty the memo: ``memo`` has each word's place in ``ends`` (of its ids in ``ids``) and in ``data`` (its decoded bytes)."""
+        """Empty the memo: ``memo`` has each word's place in ``ends``, where its ids end in ``ids``."""
         self.memo: dict[str, int] = {}
         self.ids, self.ends = array("i"), array("q", [0])
-        self.data: list[bytes] = []
 
     def contract(self, words: list[bytes]) -> list[np.ndarray]:
         """Token ids of short words, none of them empty."""
@@ -145,7 +148,7 @@ class Coder:
                 return ids
 
     def learn(self, words: set[str]) -> None:
-        """Enter words in the memo, and the bytes that their ids decode to."""
+        """Enter words in the memo."""
         done: list[tuple[str, np.ndarray]] = []
         held: dict[str, bytes] = {}
         size = 0
@@ -168,11 +171,10 @@ class Coder:
                     contract()
                     size = 0
         contract()
-        for (word, ids), data in zip(done, self.decode([ids for _, ids in done]), strict=True):
-            self.memo[word] = len(self.data)
-            self.ids.frombytes(ids.tobytes())
+        for word, ids in done:
+            self.memo[word] = len(self.ends) - 1
+            self.ids.frombytes(ids.astype(np.int32).tobytes())
             self.ends.append(len(self.ids))
-            self.data.append(data)
 
     def places(self, texts: list[str]) -> list[list[int]]:
         """For every text, its words' places in the memo."""
@@ -196,18 +198,42 @@ class Coder:
         return self.gather(self.places(texts))
 
     def decode(self, sequences: list[np.ndarray]) -> list[bytes]:
-        """The bytes of id sequences: one ordered aggregation for all, cut where each sequence's bytes end."""
-        lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
-        if not lengths.any():
-            return [b""] * len(sequences)
-        self.db.register("ids", pa.table({"d": np.repeat(np.arange(len(sequences)), lengths), "i": np.arange(lengths.sum()), "t": np.concatenate(sequences)}))
-        whole = bytes.fromhex(self.db.execute(DECODE).fetchone()[0])
-        sizes = self.db.execute(SIZES).fetchnumpy()
-        self.db.unregister("ids")
-        each = np.zeros(len(sequences), np.int64)
-        each[sizes["d"]] = sizes["n"]
-        ends = each.cumsum().tolist()
-        return [whole[i:j] for i, j in zip([0, *ends], ends)]
+        """The bytes of id sequences, put one after the other: an ordered aggregation for each piece, cut where each sequence's bytes end."""
+        flat = np.concatenate([np.zeros(0, np.int32), *sequences])
+        parts = []
+        for start in range(0, len(flat), PIECE):
+            ids = flat[start : start + PIECE]
+            self.db.register("piece", pa.table({"i": np.arange(len(ids)), "h": self.hex.take(pa.array(ids))}))
+            parts.append(bytes.fromhex(self.db.execute(DECODE).fetchall()[0][0]))
+            self.db.unregister("piece")
+        whole = b"".join(parts)
+        ends = np.concatenate([[0], np.cumsum(self.sizes[flat])])[np.cumsum([0, *map(len, sequences)])].tolist()
+        return [whole[i:j] for i, j in zip(ends, ends[1:])]
+
+    def listed(self, sequences: list[np.ndarray]) -> Iterator[str]:
+        """The SHA-256 of every sequence's decimal ids, joined by blanks; long ones are joined a piece at a time."""
+        for start in range(0, len(sequences), 256):
+            part = sequences[start : start + 256]
+            cut = [x[i : i + PIECE] for x in part for i in range(0, max(len(x), 1), PIECE)]
+            text = iter(self._joined(cut))
+            for x in part:
+                digest = hashlib.sha256(next(text))
+                for _ in range(PIECE, len(x), PIECE):
+                    digest.update(b" ")
+                    digest.update(next(text))
+                yield digest.hexdigest()
+
+    def _joined(self, sequences: list[np.ndarray]) -> Iterator[pa.Buffer]:
+        held, size = [], 0
+        for x in [*sequences, None]:
+            if x is None or size + len(x) > 4 * PIECE:
+                flat = np.concatenate([np.zeros(0, np.int32), *held])
+                lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, held)]), pa.int32()), self.decimal.take(pa.array(flat)))
+                yield from (y.as_buffer() for y in pc.binary_join(lists, " "))
+                held, size = [], 0
+            if x is not None:
+                held.append(x)
+                size += len(x)
 
 
 def coder(path: str, pattern: str) -> Coder:
@@ -239,19 +265,18 @@ def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """Encodes every text and decodes its ids: ``doc_id, n_tokens, ids_sha256, decoded_sha256``.
 
-    A text's ids are those of its words in order, and so are its decoded bytes; a word is encoded and decoded once while it is remembered.
+    A word is encoded once while it is remembered; what is decoded are the ids of the whole texts.
     """
 
     def run(source: Iterator[tuple]) -> Iterator[list]:
         own = coder(path, pattern)
         for held in blocks(source, 1, 1_000_000):
-            places = own.places([r[1] or "" for r in held])
-            ids = own.gather(places)
+            ids = own.encode([r[1] or "" for r in held])
             yield [
                 [r[0] for r in held],
                 [len(x) for x in ids],
-                [hashlib.sha256(" ".join(map(str, x.tolist())).encode()).hexdigest() for x in ids],
-                [hashlib.sha256(b"".join([own.data[p] for p in x])).hexdigest() for x in places],
+                list(own.listed(ids)),
+                [hashlib.sha256(x).hexdigest() for x in own.decode(ids)],
             ]
 
     return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

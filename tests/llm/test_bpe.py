@@ -1,5 +1,7 @@
+import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -49,3 +51,27 @@ def test_repeated_rows_null_ids_and_empty_tables(docs_of):
     found = sorted(bpe.round_trip(docs, PATH, PATTERN).collect(), key=str)
     assert len(found) == 3 and [r.n_tokens for r in found if r.doc_id is None] == [0]
     assert bpe.round_trip(docs.limit(0), PATH, PATTERN).count() == 0
+
+
+def test_a_wrong_id_changes_the_decoded_digest(docs_of, monkeypatch):
+    path, texts = public_tokenizers.path("byte_bpe_50k.tiktoken"), [(1, "the river and the stone"), (2, "other words here")]
+    right = {r.doc_id: r for r in bpe.round_trip(docs_of(texts), path, public_tokenizers.PATTERN).collect()}
+    gather = bpe.Coder.gather
+
+    def wrong(self, places):
+        ids = gather(self, places)
+        return [np.where(np.arange(len(x)) == 2, x + 1, x) if len(x) == 5 else x for x in ids]
+
+    monkeypatch.setattr(bpe.Coder, "gather", wrong)
+    found = {r.doc_id: r for r in bpe.round_trip(docs_of(texts), path, f"(?:{public_tokenizers.PATTERN})").collect()}
+    assert found[1].decoded_sha256 != right[1].decoded_sha256 and found[1].ids_sha256 != right[1].ids_sha256
+    assert found[2] == right[2]
+
+
+def test_pieces_do_not_change_the_bytes(monkeypatch):
+    own = bpe.Coder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    texts = ["", "a", "Ünï çødé 漢字 \U0001f600 ok" * 30, "", "word " * 50]
+    monkeypatch.setattr(bpe, "PIECE", 7)
+    assert own.decode(own.encode(texts)) == [t.encode() for t in texts]
+    assert list(own.listed(own.encode(texts))) == [hashlib.sha256(" ".join(map(str, x.tolist())).encode()).hexdigest() for x in own.encode(texts)]
+    assert own.decode([]) == [] and own.encode([]) == []
