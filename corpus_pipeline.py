@@ -1,9 +1,12 @@
 """A corpus from raw documents to token ids, one stage after the other.
 
-Every stage but the last returns rows with the columns of its input. A stage that
-drops rows writes its input with a key for every row and decides by that key, so rows
-without a doc_id, or with the same one and other texts, do not share a fate. Temporary
-columns are prefixed, so a table may have further columns of any common name.
+Every stage but the last returns rows with the columns of its input. Language
+identification and decontamination decide row by row and let rows pass in the scan;
+near-duplicate removal names the rows that go by their place in the files (a table that
+is no scan of Parquet is written first), so rows without a doc_id, or with the same one
+and other texts, do not share a fate, and only those names meet the texts in a join.
+What a stage writes for itself is deleted before it returns. Temporary columns are
+prefixed, so a table may have further columns of any common name.
 """
 
 from __future__ import annotations
@@ -13,32 +16,16 @@ from pyspark.sql import functions as F
 
 from polyad.llm import bpe, decontaminate, language, neardup, secrets
 from polyad.llm.common import read, remainder
-from polyad.session import stage
+from polyad.session import release, stages
+from polyad.sources.ordered import source_place
 
 OWN = "_polyad_"
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key for every row, written so that all readings see the same keys."""
-    return stage(docs.withColumn(OWN + "key", F.monotonically_increasing_id()), "keyed")
-
-
-def _by_key(keyed: DataFrame) -> DataFrame:
-    """The texts, with the row's key as doc_id."""
-    return keyed.select(F.col(OWN + "key").alias("doc_id"), "text")
-
-
-def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of ``keyed`` whose key is not among the doc_ids of ``rejected``."""
-    ids = rejected.select(F.col("doc_id").alias(OWN + "id")).distinct()
-    return keyed.join(ids, F.col(OWN + "key") == F.col(OWN + "id"), "left_anti").drop(OWN + "key")
+FILE, ROW, PRINT = OWN + "file", OWN + "row", OWN + "print"
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no language is found go. Profiles are learned from the marks of the stage's own input."""
-    keyed = _keyed(docs)
-    found = language.identify(_by_key(keyed), language.profiles(keyed.where(remainder("doc_id", 4) != 2)))
-    return _without(keyed, found.where(F.col("lang_pred") == language.UNKNOWN))
+    return language.recognised(docs, language.profiles(docs.where(remainder("doc_id", 4) != 2)))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,19 +33,23 @@ def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows that repeat both its doc_id and its text are the same document and stay with it.
     """
-    keyed = _keyed(docs)
-    names = keyed.select(F.col(OWN + "key").alias("doc_id"), F.col("doc_id").alias("name"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
-    members = stage(neardup.near_duplicates(_by_key(keyed)).select("doc_id", "component_id").join(names, "doc_id"), "members")
-    first = F.min(F.struct(F.col("name").isNull(), "name", "doc_id", "print"))
-    groups = members.groupBy("component_id").agg(F.count("*").alias("n"), first.alias("first")).where("n > 1").select("component_id", "first")
-    same = "doc_id = first.doc_id OR coalesce(name = first.name AND print = first.print, false)"
-    return _without(keyed, members.join(groups, "component_id").where(f"NOT ({same})").select("doc_id"))
+    with stages(spark) as inside:
+        if source_place(docs) is None:
+            docs = inside.keep(docs, "docs")
+        file, row = source_place(docs)
+        placed = docs.select("doc_id", "text", file.alias(FILE), row.alias(ROW), F.xxhash64(F.coalesce("text", F.lit(""))).alias(PRINT))
+        members = neardup.near_duplicates(placed, carry=(FILE, ROW, PRINT)).select("doc_id", "component_key", FILE, ROW, PRINT)
+        first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", PRINT, FILE, ROW)).alias("first")
+        groups = members.groupBy("component_key").agg(F.count("*").alias("n"), first).where("n > 1").select("component_key", "first")
+        same = f"{FILE} = first.{FILE} AND {ROW} = first.{ROW} OR coalesce(doc_id = first.doc_id AND {PRINT} = first.{PRINT}, false)"
+        gone = inside.keep(members.join(groups, "component_key").where(f"NOT ({same})").select(FILE, ROW), "gone")
+    file, row = source_place(docs)
+    return docs.withColumns({OWN + "f": file, OWN + "r": row}).join(gone, (F.col(OWN + "f") == F.col(FILE)) & (F.col(OWN + "r") == F.col(ROW)), "left_anti").drop(OWN + "f", OWN + "r")
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a passage like a benchmark item go."""
-    keyed = _keyed(docs)
-    return _without(keyed, decontaminate.find(_by_key(keyed), read(spark, sf_dir, "benchmark")))
+    return decontaminate.without_copies(docs, read(spark, sf_dir, "benchmark"))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -86,7 +77,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; each one's result but the last's is written, and goes when the next one's is."""
     docs = read(spark, sf_dir, "documents")
-    for _, step in STAGES:
-        docs = step(spark, docs, sf_dir)
-    return docs
+    for name, step in STAGES[:-1]:
+        with stages(spark) as inside:
+            after = inside.keep(step(spark, docs, sf_dir), name.replace(" ", "_"))
+        release(docs)
+        docs = after
+    return STAGES[-1][1](spark, docs, sf_dir)
