@@ -9,7 +9,9 @@ measure and pair, so scoring is a gather and a sum over whole blocks of rows.
 Edge cases: NULL text counts as empty; every text, empty or very long, gets a
 score. Labels that are NULL teach nothing, and of a document with several labels
 the smallest counts. Without labelled rows of both kinds every score is the
-smoothed share of ones. Repeated rows are scored each. Columns beyond ``doc_id``
+smoothed share of ones. Repeated rows are scored each; of a labelled document with
+several texts, the one with the least hash is learned from. The order of rows and their
+partitions change nothing. Columns beyond ``doc_id``
 and ``text`` are not looked at.
 """
 
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import blocks, map_batches
 
-SAMPLE = 20_000  # labelled rows that the model is fitted on at most: the first by a hash of doc_id
+SAMPLE = 20_000  # labelled documents that the model is fitted on at most; of more, those with a low hash of doc_id
 
 _CLASS = np.zeros((256, 6))  # letter, digit, upper, blank, sentence mark, symbol
 for _b in range(256):
@@ -144,19 +146,23 @@ class Additive:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int = SAMPLE) -> Additive:
-    """The model of a bounded sample: ``most`` labelled documents, the first by a hash of ``doc_id``.
+    """The model of a bounded sample: all labelled documents, or of more than ``most`` those whose hash is under a threshold.
 
-    Only their measures, ``most`` rows of a few numbers, come to the driver.
+    The threshold lets nine tenths of ``most`` through, so that more than ``most`` is out of question. Only their
+    measures, rows of a few numbers, come to the driver.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias("target"))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    n = known.count()
+    share = 1.0 if n <= most else 0.9 * most / n
+    sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < int(share * (1 << 40)))
 
     def measured(source: Iterator[tuple]) -> Iterator[list]:
         for held in blocks(source, 1):
-            yield [[r[0] for r in held], [measure(r[1]) for r in held], [float(r[2]) for r in held]]
+            yield [[r[0] for r in held], [measure(r[1]) for r in held], [float(r[2]) for r in held], [r[3] for r in held]]
 
-    joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "target")
-    found = map_batches(joined, measured, "doc_id long, x array<double>, y double").dropDuplicates(["doc_id"]).collect()
+    joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "text", "target", F.xxhash64("text").alias("print"))
+    rows = map_batches(joined, measured, "doc_id long, x array<double>, y double, print long")
+    found = rows.groupBy("doc_id").agg(F.min(F.struct("print", "x", "y")).alias("r")).select("doc_id", "r.x", "r.y").collect()
     found.sort(key=lambda r: r.doc_id)
     return Additive().fit(np.array([r.x for r in found]).reshape(-1, len(MEASURES)), np.array([r.y for r in found]))
 

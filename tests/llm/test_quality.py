@@ -49,3 +49,82 @@ def test_sample_is_bounded(spark, docs_of):
     labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
     assert quality.fit(docs, labels, most=0).tables == [] and quality.fit(docs, labels, most=40).tables
     assert len(quality.MEASURES) == len(quality.measure("some text"))
+
+
+def plain_boosting(x, y, bins=32, coarse=8, rounds=3, pair_rounds=2, most_pairs=8, rate=0.1, depth=2, ridge=5.0):
+    """The additive model row by row and cut by cut: a function from measures to a score."""
+    columns = range(x.shape[1])
+    edges = {n: [sorted(set(np.quantile(x[:, k], np.arange(1, n) / n).tolist())) for k in columns] for n in (bins, coarse)}
+    bin_of = lambda n, k, v: sum(v >= e for e in edges[n][k])
+    base = np.log((y.sum() + 1) / (len(y) - y.sum() + 1))
+    steps = []  # functions of a row, added up
+    scores = [base] * len(y)
+
+    def sums(key):
+        g, h = {}, {}
+        for row, label, s in zip(x, y, scores):
+            p = 1 / (1 + np.exp(-s))
+            g[key(row)] = g.get(key(row), 0) + label - p
+            h[key(row)] = h.get(key(row), 0) + p * (1 - p)
+        return g, h
+
+    part = lambda d, cells: sum(d.get(c, 0) for c in cells)
+    value = lambda g, h, cells: part(g, cells) / (part(h, cells) + ridge)
+    worth = lambda g, h, cells: part(g, cells) ** 2 / (part(h, cells) + ridge)
+
+    def tree(g, h, cells, depth):
+        if depth == 0 or len(cells) < 2:
+            return {c: value(g, h, cells) for c in cells}
+        gains = [worth(g, h, cells[:i]) + worth(g, h, cells[i:]) for i in range(1, len(cells))]
+        i = int(np.argmax(gains)) + 1
+        return tree(g, h, cells[:i], depth - 1) | tree(g, h, cells[i:], depth - 1)
+
+    def quarters(g, h, rows, cols):
+        best = None
+        for i in range(1, rows):
+            for j in range(1, cols):
+                parts = [[(a, b) for a in A for b in B] for A in (range(i), range(i, rows)) for B in (range(j), range(j, cols))]
+                gain = sum(worth(g, h, p) for p in parts)
+                if best is None or gain > best[0] + 1e-12:
+                    best = gain, parts
+        every = [c for p in best[1] for c in p]
+        return best[0] - worth(g, h, every), {c: value(g, h, p) for p in best[1] for c in p}
+
+    def add(key, table):
+        steps.append((key, table))
+        for n, row in enumerate(x):
+            scores[n] += rate * table[key(row)]
+
+    for _ in range(rounds):
+        for k in columns:
+            key = lambda row, k=k: bin_of(bins, k, row[k])
+            add(key, tree(*sums(key), list(range(len(edges[bins][k]) + 1)), depth))
+    pair_key = lambda i, j: lambda row: (bin_of(coarse, i, row[i]), bin_of(coarse, j, row[j]))
+    size = lambda k: len(edges[coarse][k]) + 1
+    split = [k for k in columns if size(k) > 1]
+    gains = sorted(((quarters(*sums(pair_key(i, j)), size(i), size(j))[0], i, j) for a, i in enumerate(split) for j in split[a + 1 :]), reverse=True)
+    for _ in range(pair_rounds):
+        for _, i, j in gains[:most_pairs]:
+            add(pair_key(i, j), quarters(*sums(pair_key(i, j)), size(i), size(j))[1])
+    return lambda row: 1 / (1 + np.exp(-base - rate * sum(table.get(key(row), 0) for key, table in steps)))
+
+
+def test_boosting_matches_a_plain_version():
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=(120, 4)), 2)
+    x[:, 3] = 1.0  # a measure without variation
+    y = ((x[:, 0] > 0.3) ^ (x[:, 1] * x[:, 2] > 0.2)).astype(float)
+    model = quality.Additive(rounds=3, pair_rounds=2).fit(x, y)
+    plain = plain_boosting(x, y)
+    new = np.vstack([x, np.round(rng.normal(size=(30, 4)), 2)])
+    assert np.allclose(model.predict(new), [plain(row) for row in new], atol=1e-9)
+
+
+def test_order_and_repeats_do_not_change_the_model(spark, docs_of, prose):
+    rows = [(i, prose(i, 30) if i % 2 else "!!! $$$ | 12 " * i) for i in range(60)]
+    rows += [(i, "another text of the same number " * i) for i in range(0, 60, 7)] + rows[:5]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    scores = [sorted((r.doc_id, round(r.score, 12)) for r in quality.score(docs, quality.fit(docs, labels)).collect()) for docs in (docs_of(rows, 1), docs_of(rows[::-1], 1), docs_of(rows, 7))]
+    assert scores[0] == scores[1] == scores[2]
+    few = quality.fit(docs_of(rows), labels, most=20)
+    assert few.base != quality.fit(docs_of(rows), labels).base
