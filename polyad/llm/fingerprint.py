@@ -12,7 +12,7 @@ which is like itself (1) and unlike all others (0). A text shorter than a span
 is one span. Equal texts have equal fingerprints, wherever they are computed.
 Neighbours are taken in descending order of (doc_id, text), so rows that repeat
 a doc_id follow each other and rows without doc_id come last; a table of one row
-is its own neighbour. Columns beyond ``doc_id`` and ``text`` are not looked at.
+is its own neighbour. Rows without doc_id are one bucket, so one task. Columns beyond ``doc_id`` and ``text`` are not looked at.
 """
 
 from __future__ import annotations
@@ -92,11 +92,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
         return x ^ x >> np.uint64(31)
 
 
-def fingerprint(text: str, span: int = SPAN, size: int = SIZE) -> np.ndarray:
+def fingerprint(text: str | Prefix, span: int = SPAN, size: int = SIZE) -> np.ndarray:
     """The ``size`` smallest distinct span hashes, in order."""
-    if not text:
+    prefix = text if isinstance(text, Prefix) else Prefix(text)
+    if not prefix.size:
         return np.zeros(0, np.uint64)
-    prefix = Prefix(text)
     length = min(span, prefix.size)
     hashes = _mixed(prefix.spans(np.arange(prefix.size - length + 1), length))
     keep = min(len(hashes), 4 * size)
@@ -143,7 +143,7 @@ def with_next(docs: DataFrame, buckets: int | None = None) -> DataFrame:
         .select("doc_id", "text", "bucket", F.lit(0).alias("own"))
     )
     own = docs.select("doc_id", "text", bucket.alias("bucket"), F.lit(1).alias("own"))
-    return own.unionByName(carried).repartition(buckets, "bucket").sortWithinPartitions("bucket", "own", F.asc_nulls_first("doc_id"), "text")
+    return own.unionByName(carried).repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "own", F.asc_nulls_first("doc_id"), "text")
 
 
 def _bucket(edges: list[int]):
@@ -174,12 +174,14 @@ def neighbours(docs: DataFrame, span: int = SPAN, size: int = SIZE) -> DataFrame
     def run(source: Iterator[tuple]) -> Iterator[list]:
         held, before, mark = [], "", np.zeros(0, np.uint64)
         for doc_id, text, _, own in source:
-            now = fingerprint(text, span, size)
+            prefix = Prefix(text)
+            now = fingerprint(prefix, span, size)
             if own:
                 changed = edited(text, before)
-                other = fingerprint(changed, span, size)
+                new = Prefix(changed)
+                other = fingerprint(new, span, size)
                 digest = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest()
-                kept = common_extension(Prefix(text), 0, Prefix(changed), 0)
+                kept = common_extension(prefix, 0, new, 0)
                 held.append((doc_id, len(text), digest, as_text(now), as_text(other), likeness(now, other, size), likeness(now, mark, size), kept))
             before, mark = text, now
             if len(held) >= 1000:

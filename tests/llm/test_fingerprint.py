@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from polyad.llm import fingerprint as fp
 
@@ -56,3 +57,11 @@ def test_one_row_and_empty_tables(docs_of):
     (row,) = fp.neighbours(docs_of([(5, "abcdefghi")])).collect()
     assert row.edited_sha256 == hashlib.sha256(b"abcdefabc").hexdigest() and row.kept_chars == 6
     assert fp.neighbours(docs_of([]).limit(0)).count() == 0
+
+
+def test_every_bucket_has_a_task_of_its_own(spark, docs_of, prose):
+    docs = docs_of([(i, prose(i, 4)) for i in range(400)])
+    dealt = fp.with_next(docs, 16).withColumn("task", F.spark_partition_id())
+    found = dealt.groupBy("task").agg(F.count_distinct("bucket").alias("buckets"), F.count("*").alias("n")).collect()
+    assert {r.buckets for r in found} == {1} and len(found) == 16
+    assert max(r.n for r in found) <= 3 * min(r.n for r in found)
