@@ -12,7 +12,7 @@ from polyad.operators.joins import key_join
 from polyad.session import stage
 
 
-def _override(source: Column, overrides: Mapping[str, Any], otherwise: Column, dtype: str) -> Column:
+def override(source: Column, overrides: Mapping[str, Any], otherwise: Column, dtype: str) -> Column:
     """Overrides come first, and may map to NULL on purpose."""
     if not overrides:
         return otherwise
@@ -37,7 +37,7 @@ def map_codes(
     dtype = crosswalk.schema[crosswalk_unit].dataType.simpleString()
     lookup = crosswalk.select(F.col(crosswalk_code).alias("__code"), F.col(crosswalk_unit).alias("__unit"))
     joined = key_join(df, lookup, {code: "__code"}, "left", null_safe=False)
-    return joined.withColumn(into, _override(F.col(code), overrides or {}, F.col("__unit"), dtype)).drop("__unit")
+    return joined.withColumn(into, override(F.col(code), overrides or {}, F.col("__unit"), dtype)).drop("__unit")
 
 
 def match_names(
@@ -63,7 +63,7 @@ def match_names(
     only = F.when(F.size("hits") == 1, F.element_at("hits", 1))
     return names.select(name, hits.cast("array<int>").alias("hits")).select(
         name,
-        _override(F.col(name), overrides or {}, only, "int").alias("unit"),
+        override(F.col(name), overrides or {}, only, "int").alias("unit"),
         F.size("hits").alias("n_matches"),
         F.when(overridden, "override")
         .when(F.size("hits") == 0, "unmatched")

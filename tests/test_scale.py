@@ -26,7 +26,7 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-LIGHT = ["dispute_monadic", "order_membership", "dyad_spine", "all_pairs_dyads", "dyad_distance", "interpolate_ends", "yearly_median", "sequence_samples", "latest_window", "normalize_groups"]
+LIGHT = ["dispute_monadic", "order_membership", "dyad_spine", "all_pairs_dyads", "dyad_distance", "interpolate_ends", "yearly_median", "sequence_samples", "latest_window", "normalize_groups", "sample_index", "sample_steps", "crosswalk_name_table"]
 
 
 @pytest.mark.parametrize("name", LIGHT)

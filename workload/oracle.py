@@ -501,6 +501,25 @@ def correlations(source: str, columns: str) -> str:
     )
 
 
+ALL_SAMPLES = """WITH idx AS (
+            SELECT user_id, start, length, CAST(length - least(5, length - 10) AS INT) AS encoder_length FROM (
+                SELECT user_id, start, CAST(last - start + 1 AS INT) AS length FROM (
+                    SELECT user_id, day AS start, max(day) OVER (PARTITION BY user_id ORDER BY day RANGE BETWEEN CURRENT ROW AND 24 FOLLOWING) AS last FROM daily
+                    UNION
+                    SELECT user_id, min(day) OVER (PARTITION BY user_id ORDER BY day RANGE BETWEEN 24 PRECEDING AND CURRENT ROW), day FROM daily))
+            WHERE length >= 11)"""
+
+
+def one_scan_correlations(source: str, names: list[str]) -> str:
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in names)
+    cells = ", ".join(
+        f"{{'row_variable': '{a}', 'column_variable': '{b}', 'correlation': round(CASE WHEN '{a}' <> '{b}' THEN corr({a}, {b}) WHEN min({a}) < max({a}) THEN 1.0 END, 6)}}"
+        for a in names
+        for b in names
+    )
+    return f"SELECT unnest([{cells}], recursive := true) FROM {source} WHERE {complete}"
+
+
 def quantile_rows(probs: list[float]) -> str:
     return " UNION ALL ".join(
         f"""SELECT l_returnflag, CAST({p} AS DOUBLE) AS prob, round(quantile_cont(l_extendedprice, {p}), 4) AS quantile
@@ -567,6 +586,28 @@ BODIES = {
     "crosswalk_code": """
         SELECT COWcode, count(*) AS n, count(DISTINCT countrycode) AS codes FROM history_coded GROUP BY COWcode""",
     "crosswalk_name": "SELECT * FROM name_units",
+    "crosswalk_name_table": """
+        WITH p AS (
+            SELECT CASE c_custkey % 3 WHEN 0 THEN '^ORD .*' || c_name || '$'
+                        WHEN 1 THEN '(?i)CUSTOMER#0*' || c_custkey || '( rush| late)?$'
+                        ELSE '(mr|ms)[.] ' || c_name || '$|' || c_name || ' rush' END AS pattern, CAST(c_custkey + 1000 AS INT) AS unit, c_name
+            FROM customer),
+        n AS (
+            SELECT DISTINCT CASE o_orderkey % 4 WHEN 0 THEN 'ord of ' WHEN 1 THEN 'ORD ' WHEN 2 THEN 'ms. ' ELSE '' END
+                   || 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0')
+                   || CASE WHEN o_orderkey % 5 = 0 THEN ' rush' WHEN o_orderkey % 7 = 0 THEN ' late' ELSE '' END AS name,
+                   'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS holds
+            FROM orders),
+        h AS (
+            SELECT name, unit FROM n JOIN p ON c_name = holds WHERE regexp_matches(name, pattern)
+            UNION SELECT name, 1 FROM n WHERE name LIKE '% late'
+            UNION SELECT name, 2 FROM n WHERE regexp_matches(name, '^[a-z. ]+#[0-9]+7$')),
+        g AS (SELECT name, CAST(count(*) AS INT) AS k, min(unit) AS single FROM h GROUP BY name)
+        SELECT n.name, CASE WHEN n.name = 'ms. Customer#000000002' THEN 7 WHEN n.name = 'Customer#000000004' THEN NULL WHEN k = 1 THEN single END AS unit,
+               coalesce(k, 0) AS n_matches,
+               CASE WHEN n.name IN ('ms. Customer#000000002', 'Customer#000000004') THEN 'override' WHEN k IS NULL THEN 'unmatched'
+                    WHEN k > 1 THEN 'ambiguous' ELSE 'matched' END AS status
+        FROM n LEFT JOIN g ON g.name = n.name""",
     "resource_wealth": f"SELECT COWcode, year, {r('oil_gas_pop')}, is_petro_state_ross FROM resources",
     "inequality_mean": f"SELECT COWcode, year, {r('gini_disp', 7)} FROM gini",
     "premium_mean": f"SELECT COWcode, year, {r('fraser_bmp_score', 7)} FROM premium",
@@ -835,6 +876,13 @@ BODIES = {
         SELECT round(avg(revisionism_distance), 6) AS avg_gap, round(max(revisionism_distance), 6) AS max_gap
         FROM indexed WHERE v2x_libdem_a < 0.3 AND v2x_libdem_b > 0.7""",
     "corr_matrix": correlations("indexed", "rev_potential_a v2x_libdem_a v2exl_legitideol_a ideol_extremity_a"),
+    "corr_wide": one_scan_correlations(
+        "(SELECT "
+        + ", ".join(f"CAST(CASE WHEN key % 61 <> {k} THEN l_quantity * {k} + key % {k + 5} END AS DOUBLE) AS m{k}" for k in range(1, 17))
+        + ", l_extendedprice AS price, l_discount AS discount, l_extendedprice * (1 - l_discount) AS paid, CAST(0.1 AS DOUBLE) AS same"
+        + " FROM (SELECT *, l_orderkey * 8 + l_linenumber AS key FROM lineitem))",
+        [*[f"m{k}" for k in range(1, 17)], "price", "discount", "paid", "same"],
+    ),
     "dispersion": " UNION ALL ".join(
         f"SELECT '{c}' AS variable, round(stddev_samp({c}), 6) AS sd, round(max({c}) - min({c}), 6) AS range FROM indexed"
         for c in ("v2exl_legitideol_a", "dem_constraint_inv_a", "ideol_extremity_a")
@@ -1007,6 +1055,14 @@ BODIES = {
                CASE WHEN day < cut THEN 'encoder' ELSE 'decoder' END AS role, day, round(value, 6) AS value,
                round((day - cut) / 20, 6) AS relative_time_idx
         FROM cuts c JOIN steps s ON s.user_id = c.user_id AND day BETWEEN cut - 20 AND cut + 4""",
+    "sample_index": f"""
+        {ALL_SAMPLES}
+        SELECT user_id, start, length, encoder_length, length - encoder_length AS decoder_length, start + encoder_length AS cut FROM idx""",
+    "sample_steps": f"""
+        {ALL_SAMPLES}
+        SELECT s.user_id, start + encoder_length AS cut, encoder_length, CASE WHEN day < start + encoder_length THEN 'encoder' ELSE 'decoder' END AS role,
+               day, round(value, 6) AS value, round((day - start - encoder_length) / 20, 6) AS relative_time_idx
+        FROM idx JOIN steps s ON s.user_id = idx.user_id AND day BETWEEN start AND start + length - 1""",
     "training_chain": """
         WITH d AS (SELECT user_id, day, CASE WHEN user_id % 7 <> 0 THEN value END AS value FROM daily),
         t AS (SELECT * FROM d WHERE day <= (SELECT max(day) FROM d) - 5),

@@ -13,6 +13,7 @@ from polyad.functions.values import finite_or_null, nan_to_null, paste_id, perce
 from polyad.learn import sequences
 from polyad.learn.impute import chained_imputation, refresh_logs
 from polyad.learn.metrics import QUANTILES, quantile_loss
+from polyad.learn.samples import materialise, sequence_index, sequence_store
 from polyad.learn.sequences import (
     fill_steps,
     group_normalizer,
@@ -23,6 +24,8 @@ from polyad.learn.sequences import (
     time_split,
 )
 from polyad.operators import aggregates, crosswalk, grid, intervals, joins, observed, ranking, scaling, schema, series, spells
+from polyad.operators.patterns import match_name_table
+from polyad.operators.wide import wide_correlations
 from polyad.plans import checks, dyadic, monadic
 from polyad.session import scratch_path, stage
 from polyad.sources import checked, tables
@@ -169,6 +172,26 @@ def crosswalk_name(v: Views) -> DataFrame:
     return crosswalk.match_names(v.named_orders(), "name", V.NAME_PATTERNS, V.NAME_OVERRIDES)
 
 
+@query
+def crosswalk_name_table(v: Views) -> DataFrame:
+    """Free text in orders matched with a pattern for each customer, and some for many or all of them."""
+    key = F.col("c_custkey")
+    patterns = v.table("customer").select(
+        F.when(key % 3 == 0, F.concat(F.lit("^ORD .*"), "c_name", F.lit("$")))
+        .when(key % 3 == 1, F.concat(F.lit("(?i)CUSTOMER#0*"), key.cast("string"), F.lit("( rush| late)?$")))
+        .otherwise(F.concat(F.lit("(mr|ms)[.] "), "c_name", F.lit("$|"), "c_name", F.lit(" rush")))
+        .alias("pattern"),
+        (key + 1000).cast("int").alias("unit"),
+    )
+    few = schema.inline_table(v.spark, "pattern string, unit int", [("late$", 1), ("^[a-z. ]+#\\d+7$", 2), (None, 3)])
+    order = F.col("o_orderkey")
+    number = F.lpad(F.col("o_custkey").cast("string"), 9, "0")
+    head = F.when(order % 4 == 0, "ord of ").when(order % 4 == 1, "ORD ").when(order % 4 == 2, "ms. ").otherwise("")
+    tail = F.when(order % 5 == 0, " rush").when(order % 7 == 0, " late").otherwise("")
+    names = v.table("orders").select(F.concat(head, F.lit("Customer#"), number, tail).alias("name"))
+    return match_name_table(names, "name", patterns.unionByName(few), {"ms. Customer#000000002": 7, "Customer#000000004": None})
+
+
 @query
 def resource_wealth(v: Views) -> DataFrame:
     rows = v.named_orders().select(
@@ -653,6 +676,16 @@ def corr_matrix(v: Views) -> DataFrame:
     return rounded(checks.leakage_correlations(indexed(v)))
 
 
+@query
+def corr_wide(v: Views) -> DataFrame:
+    """Twenty measures of the items, with gaps, a constant and a near copy."""
+    key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    measures = {f"m{k}": F.when(key % 61 != k, F.col("l_quantity") * k + key % (k + 5)) for k in range(1, 17)}
+    measures |= {"price": F.col("l_extendedprice"), "discount": F.col("l_discount"), "paid": F.col("l_extendedprice") * (1 - F.col("l_discount"))}
+    rows = v.table("lineitem").select(*[c.cast("double").alias(name) for name, c in measures.items()], F.lit(0.1).alias("same"))
+    return rounded(wide_correlations(rows, [*measures, "same"]))
+
+
 @query
 def dispersion(v: Views) -> DataFrame:
     return rounded(checks.component_dispersion(indexed(v)))
@@ -991,6 +1024,20 @@ def sequence_window_steps(v: Views) -> DataFrame:
     return rounded(sequence_steps(samples(v), "user_id", "day"))
 
 
+@query
+def sample_index(v: Views) -> DataFrame:
+    """Every sample of the days with events, gaps and late short encoders included."""
+    return sequence_index(v.daily(), "user_id", "day")
+
+
+@query
+def sample_steps(v: Views) -> DataFrame:
+    """The same samples with their values, as rows."""
+    daily = v.daily()
+    store = stage(sequence_store(daily, "user_id", "day", ["value"]), "store")
+    return rounded(sequence_steps(materialise(sequence_index(daily, "user_id", "day"), store, "user_id", "day"), "user_id", "day"))
+
+
 @query
 def training_chain(v: Views) -> DataFrame:
     """Prepared, split, cut and normalised without a look at the holdout; the last windows validate."""
