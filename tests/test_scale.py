@@ -96,3 +96,12 @@ def test_long_unit_is_cut_into_blocks(spark):
 def test_pairs_do_not_need_one_big_side(spark, no_broadcast):
     units = spark.range(120).select(F.col("id").cast("int").alias("unit"), F.lit(2000).alias("year"))
     assert all_pairs(units).count() == 120 * 119
+
+
+def test_the_profile_is_shuffled_once_for_both_sides(make, no_broadcast):
+    profile = make("COWcode int, year int, x double", [(u, y, u + y / 10) for u in range(20) for y in range(10)]).repartition(3)
+    pairs = make("COWcode_a int, COWcode_b int, year int", [(a, b, a % 10) for a in range(21) for b in range(20)]).repartition(3)
+    found = joins.enrich_both_sides(pairs, profile, "COWcode", "year", {"_a": "COWcode_a", "_b": "COWcode_b"})
+    assert all(r.x_b == r.COWcode_b + r.year / 10 and (r.x_a is None) == (r.COWcode_a == 20) for r in found.collect())
+    final = plan(found).split("Initial Plan")[0]
+    assert final.count("ReusedExchange") == 1 and final.count("SortMergeJoin") == 2
