@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from polyad.session import stage, stages
+from polyad.session import release, stage, stages
 
 from .common import by_size, tidy
 from .words import Tokens, mixed
@@ -194,24 +194,37 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return together.repartition(count, "y", "piece").sortWithinPartitions("y", "piece", "other").drop("piece").mapInArrow(compare, "u long, v long")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, root): the smallest node that each linked node reaches, by alternating stars; roots themselves are left out."""
-    spark = links.sparkSession
-    links = stage(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "links")
-    mark = lambda df: tuple(df.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).head())
-    before = mark(links)
-    while before[0]:
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct()
-        links = stage(small, "links", last_use_of=[links])
-        after = mark(links)
-        if after == before:
-            break
-        before = after
-    return spark.createDataFrame([], "node long, root long") if not before[0] else links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(node, root): the smallest node that each linked node reaches; roots themselves are left out.
+
+    ``known`` is the result for earlier links, to which ``links`` are added. Every tree of linked nodes hangs on its
+    least smaller neighbour, the trees are flattened, and so on with the links between trees until there are none.
+    """
+    roots, links = known, links.select("u", "v")
+    while True:
+        ends = links.selectExpr("u", "v", "u AS x", "v AS y") if roots is None else _with_roots(_with_roots(links, roots, "u", "x"), roots, "v", "y")
+        between = ends.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
+        links = stage(between, "links", last_use_of=[links])
+        if not links.count():
+            release(links)
+            return links.sparkSession.createDataFrame([], "node long, root long") if roots is None else roots
+        tree = _flat(links.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root")))
+        if roots is None:
+            roots = tree
+            continue
+        joined = _with_roots(roots.select("node", F.col("root").alias("top")), tree, "top", "root").select("node", "root").unionByName(tree.select("node", "root"))
+        roots = stage(joined, "roots", last_use_of=[tree] if roots is known else [tree, roots])
+
+
+def _flat(tree: DataFrame) -> DataFrame:
+    """(node, root, moved) from (node, root) with a parent for a root; each round halves the ways up, until none moved."""
+    tree = stage(tree, "tree")
+    while True:
+        up = tree.select(F.col("node").alias("root"), F.col("root").alias("up"))
+        higher = tree.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved"))
+        tree = stage(higher, "tree", last_use_of=[tree])
+        if not tree.where("moved").count():
+            return tree
 
 
 def _with_roots(df: DataFrame, roots: DataFrame, node: str, into: str) -> DataFrame:
@@ -256,13 +269,11 @@ def _labels(docs: DataFrame, signed: DataFrame, percent: int, tables: int, size:
     stars = stage(stars.join(side("x"), "x").join(side("y"), "y").where(able).select("x", "y", agree.alias("agree")), "stars")
     best = F.max(F.struct("agree", -F.col("y"), -F.col("x"))).alias("best")
     first = stars.groupBy("x").agg(best).select("x", (-F.col("best.col2")).alias("y"))
-    links = stage(confirm(first, sets, percent), "confirmed")
-    roots = components(links)
+    roots = components(confirm(first, sets, percent))
     # the most promising star between two components
     across = _with_roots(_with_roots(stars, roots, "x", "cx"), roots, "y", "cy").where("cx <> cy")
     second = across.groupBy(F.least("cx", "cy").alias("c"), F.greatest("cx", "cy").alias("d")).agg(best).select((-F.col("best.col3")).alias("x"), (-F.col("best.col2")).alias("y"))
-    links = stage(links.unionByName(confirm(stage(second, "pairs", last_use_of=[stars]), sets, percent)), "confirmed")
-    roots = components(links)
+    roots = components(confirm(stage(second, "pairs", last_use_of=[stars]), sets, percent), roots)
     # what still shares a bucket with another component
     placed = stage(_with_roots(shared.select("key", "node", "i", "j"), roots, "node", "c"), "placed", last_use_of=[shared])
     mixed_keys = placed.groupBy("key").agg(F.min("c").alias("first"), F.max("c").alias("last")).where("first < last").select("key", "first")
@@ -274,8 +285,7 @@ def _labels(docs: DataFrame, signed: DataFrame, percent: int, tables: int, size:
     # bands of different places are never equal, so overlapping slices share a band at one place
     earlier = f"arrays_overlap(slice(b_x, 1, i), slice(b_y, 1, i)) OR arrays_overlap(slice(b_x, {tables + 1}, j), slice(b_y, {tables + 1}, j))"
     third = left.join(right, "key").where(f"c_x > c_y AND {able} AND NOT ({earlier})").select(F.col("id_x").alias("x"), F.col("id_y").alias("y"))
-    links = stage(links.unionByName(confirm(stage(third, "pairs"), sets, percent)), "confirmed")
-    roots = components(links)
+    roots = components(confirm(stage(third, "pairs"), sets, percent), roots)
     rooted = _with_roots(classes, roots, "node", "root")
     names = stage(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), "names")
     return rooted.join(names, "root").select("a", "b", "root", "component_id")

@@ -81,6 +81,23 @@ def test_components_of_a_long_chain_and_a_hub(spark, docs_of):
     assert all(roots[i] == 0 for i in range(1, 61)) and all(roots[1000 + i] == 999 for i in range(50)) and 0 not in roots
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_components_of_added_links(spark, docs_of, seed):
+    docs_of([])
+    rng = random.Random(seed)
+    draw = lambda n: [(rng.randrange(200), rng.randrange(200)) for _ in range(n)]
+    groups = [draw(90), draw(30), [], draw(40) + [(300 + i, 500 - i) for i in range(60)]]
+    roots, seen = None, []
+    for group in groups:
+        seen += group
+        roots = neardup.components(spark.createDataFrame(group, "u long, v long"), roots)
+        least = {i: i for pair in seen for i in pair}
+        for _ in least:  # the smallest number reached, link by link
+            for u, v in seen:
+                least[u] = least[v] = min(least[u], least[v])
+        assert {r.node: r.root for r in roots.collect()} == {i: r for i, r in least.items() if i != r}
+
+
 def test_many_comparisons_with_one_node_are_split(spark, docs_of, monkeypatch):
     import numpy as np
 
