@@ -1,8 +1,12 @@
 """Names matched with a table of patterns.
 
 Every pattern is indexed by a piece of text that a name must hold to match it, the
-rarest one among the names. Names meet patterns by equality on these pieces; the
-pattern itself is tested on such candidates only.
+rarest one among the names: a required text of up to LONGEST characters, or a part
+of a longer one. Names meet patterns by equality on 64 bits of these pieces; the
+pattern itself is tested on such candidates only. Of a name's pieces, those that no
+pattern wants are dropped in the scan by a filter of FILTER_BITS bits, and how many
+names hold a piece is read from COUNTERS counters. Both are of fixed size and let a few too
+many pass, which costs a test of a candidate and changes no result.
 
 Patterns are Java regular expressions, tested case-sensitively unless they say
 otherwise. NULL names, patterns and units take no part. A pattern of which no
@@ -23,7 +27,9 @@ from polyad.operators.crosswalk import override
 from polyad.operators.joins import key_join
 from polyad.session import stage
 
-LENGTHS = (16, 8, 4, 2, 1)
+LONGEST = 16  # characters of a piece at most
+FILTER_BITS = 1 << 24  # of the filter of wanted pieces; more pieces only make it less selective
+COUNTERS = 1 << 22  # of the names that hold a piece; more names only make the choice of a piece less sharp
 SLOTS = 64
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,26 +62,42 @@ def required_texts(regex: Column) -> Column:
 
 
 def _longest_pieces(text: Column) -> Column:
-    """The substrings of the greatest indexed length that fits."""
-    pieces = F.when(F.length(text) >= LENGTHS[0], _pieces(text, LENGTHS[0]))
-    for length in LENGTHS[1:]:
-        pieces = pieces.when(F.length(text) >= length, _pieces(text, length))
-    return pieces
+    """The text itself, or all its pieces of the greatest indexed length."""
+    return F.when(F.length(text) > LONGEST, _pieces(text, LONGEST)).otherwise(F.array(text))
 
 
-def _index(patterns: DataFrame, held: DataFrame) -> DataFrame:
-    """(piece, slot, pattern, unit): the rarest required piece of each alternative, if any name holds it."""
+def _held(names: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(name, piece): the wanted pieces that names hold, and a few others that the filter lets pass.
+
+    The filter has a row for each 64 of its bits, so it is small enough to reach the names wherever they are.
+    """
+    wanted = wanted.where("piece IS NOT NULL")
+    lengths = sorted(r.length for r in wanted.select("length").distinct().collect())  # LONGEST numbers at most
+    bit = F.pmod("piece", F.lit(FILTER_BITS))
+    words = wanted.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("word"))
+    words = stage(words.agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 AS int))")).alias("bits")), "filter")
+    none = F.array().cast("array<string>")
+    pieces = F.transform(F.concat(none, *[_pieces(F.col("folded"), k) for k in lengths]), lambda x: F.xxhash64(x))
+    held = names.select("name", _folded(F.col("name")).alias("folded")).select("name", F.explode(F.array_distinct(pieces)).alias("piece")).select("name", "piece", bit.alias("bit"))
+    return held.withColumn("word", F.expr("bit div 64")).join(words, "word").where("getbit(bits, cast(bit % 64 AS int)) = 1").select("name", "piece")
+
+
+def _index(patterns: DataFrame, names: DataFrame) -> DataFrame:
+    """(piece, length, slot, pattern, unit): the rarest required piece of each alternative, if any name holds it."""
     branches = patterns.select("pattern", "unit", F.posexplode(required_texts(F.col("pattern"))).alias("branch", "texts"))
-    pieces = branches.select(
-        "pattern", "unit", "branch", F.explode_outer(F.array_distinct(F.flatten(F.transform("texts", _longest_pieces)))).alias("piece")
+    texts = branches.select(
+        "pattern", "unit", "branch", F.explode_outer(F.array_distinct(F.flatten(F.transform("texts", _longest_pieces)))).alias("text")
     )
-    counts = held.groupBy("piece").agg(F.count("*").alias("n"))
-    rated = pieces.where("piece IS NOT NULL").join(counts, "piece", "left")
-    rarest = rated.groupBy("pattern", "unit", "branch").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece")).alias("best"))
-    keyed = rarest.where("best.n > 0").select(F.col("best.piece").alias("piece"), F.lit(0).alias("slot"), "pattern", "unit")
+    hashed = F.when(F.col("text").isNotNull(), F.xxhash64("text"))
+    pieces = stage(texts.select("pattern", "unit", "branch", hashed.alias("piece"), F.length("text").alias("length")), "pieces")
+    place = F.pmod("piece", F.lit(COUNTERS)).alias("place")
+    counts = _held(names, pieces).groupBy(place).agg(F.count("*").alias("n"))
+    rated = pieces.where("piece IS NOT NULL").withColumn("place", place).join(counts, "place", "left")
+    best = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "piece", "length")).alias("best")
+    rarest = rated.groupBy("pattern", "unit", "branch").agg(best).where("best.n > 0")
+    keyed = rarest.select("best.piece", "best.length", F.lit(-1).alias("slot"), "pattern", "unit")
     slots = F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))).alias("slot")
-    bare = pieces.where("piece IS NULL").select(F.lit("").alias("piece"), slots, "pattern", "unit")
-    return keyed.unionByName(bare)
+    return keyed.unionByName(pieces.where("piece IS NULL").select("piece", "length", slots, "pattern", "unit"))
 
 
 def match_name_table(
@@ -90,13 +112,13 @@ def match_name_table(
     rows = patterns.select(as_column(pattern).alias("pattern"), as_column(unit).alias("unit")).dropna().distinct()
     dtype = rows.schema["unit"].dataType.simpleString()
     names = stage(df.select(as_column(name).alias("name")).where("name IS NOT NULL").distinct(), "names")
-    folded = _folded(F.col("name"))
-    held = names.select("name", F.explode(F.array_distinct(F.concat(*[_pieces(folded, k) for k in LENGTHS]))).alias("piece"))
-    index = stage(_index(rows, held), "patterns")
-    places = held.select("name", "piece", F.lit(0).alias("slot")).unionByName(
-        names.select("name", F.lit("").alias("piece"), F.pmod(F.hash("name"), F.lit(SLOTS)).alias("slot"))
+    index = stage(_index(rows, names), "patterns")
+    # Patterns without a certain text meet all names of their slot, under a piece of their own.
+    key = F.coalesce("piece", F.lit(0)).alias("piece")
+    places = _held(names, index).select("name", "piece", F.lit(-1).alias("slot")).unionByName(
+        names.select("name", F.lit(0).cast("long").alias("piece"), F.pmod(F.hash("name"), F.lit(SLOTS)).alias("slot"))
     )
-    met = places.join(index, ["piece", "slot"]).where(F.rlike("name", "pattern"))
+    met = places.join(index.select(key, "slot", "pattern", "unit"), ["piece", "slot"]).where(F.rlike("name", "pattern"))
     # Several patterns, and several alternatives of one, may say the same unit.
     hits = met.select("name", "unit").distinct().groupBy("name").agg(F.count("*").alias("n"), F.min("unit").alias("only"))
     known = list(overrides or {})

@@ -69,6 +69,25 @@ def test_required_texts(make):
     assert found == {"^New.*Guinea$": [["new", "guinea"]], "(?i)ab|cD+e": [["ab"], ["cd", "e"]], "x(ab)?y": [["x", "y"]], "[a-z]+": [[]], r"\Qab\E": [[]]}
 
 
+def test_a_full_filter_and_a_single_counter_change_nothing(make, monkeypatch):
+    monkeypatch.setattr(patterns, "FILTER_BITS", 64)
+    monkeypatch.setattr(patterns, "COUNTERS", 1)
+    frame = make("name string", [(a + b,) for a in ("ab", "Peru", "North Korea", "per" * 12) for b in ("", "d", "u", "korea")])
+    table = make("pattern string, unit int", [(p, k) for k, p in enumerate([*TRICKY, "(per){3}" + "per" * 9])])
+    found = patterns.match_name_table(frame, "name", table)
+    assert values(found.where("n_matches > 0"), "name", "n_matches") == brute(frame, table)
+
+
+def test_names_bring_only_what_patterns_want(spark):
+    names = spark.range(3000).select(F.concat(F.lit("ord of Customer#"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("name"))
+    table = spark.range(1000, 2000).select(F.concat(F.lit("(?i)CUSTOMER#0*"), F.col("id").cast("string"), F.lit("$")).alias("pattern"), F.col("id").cast("int").alias("unit"))
+    index = patterns._index(table, names)
+    assert {(r.length, len(r.pattern)) for r in index.collect()} == {(4, 20)}  # the whole number, and no part of it
+    held = patterns._held(names, index)
+    wanted = held.join(index, "piece", "left_semi").count()
+    assert 1000 <= wanted <= held.count() < 1.1 * wanted and wanted < 5000  # a name has about 100 pieces of up to 16 characters
+
+
 def test_same_report_as_a_list_of_patterns(make):
     listed = [("(?i)korea", 732), ("(?i)north.*korea", 731), ("^Peru$", 135), ("(?i)^peru", 135)]
     names = make("name string, v int", [("South Korea", 1), ("North Korea", 2), ("Peru", 3), ("Guam", 4), ("Mars", 5), (None, 6)])
